@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality_rules
+from .bagminhash import near_duplicate_classes
 from .substring_dedup import remove_repeated_spans
 
 
@@ -18,12 +20,54 @@ def digest(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    measured = full.select("doc_id", *(f"ledger.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "failed")))
+    base = F.col("failed").bitwiseAND(F.lit(quality_rules.BASE).cast("long")) != 0
+    return measured.withColumn("base_failed", base).withColumn("kept", quality_rules.kept(failed=F.col("failed")))
+
+
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicate_classes(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_rows", "n_runs")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeated_spans(spark, table(spark, sf_dir, "documents")))
 
 
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), runs AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n FROM runs) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT at) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM twice) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines
+  FROM w LEFT JOIN covered c USING (doc_id) LEFT JOIN lines l USING (doc_id)
+), f AS (
+  SELECT *, CAST(
+    CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN word_chars > 40 * n_words THEN 16 ELSE 0 END + CASE WHEN 2 * word_chars < 3 * n_words THEN 32 ELSE 0 END AS BIGINT) AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op7_bagminhash": op7_bagminhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_quality_rules": OP2_SQL}
