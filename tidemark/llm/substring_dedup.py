@@ -13,9 +13,9 @@ into shards by content instead, so that equal windows always meet in one shard:
    by a pre-aggregated minimum; each later one repeats as a whole. So a passage that a third of all documents hold
    is one row from here on.
 3. The different contexts of each anchor are the reference. They are dealt to bounded shards by a hash of their anchor;
-   an anchor with more than `HOT` contexts is dealt by its windows' hashes, window by window. Each shard streams its contexts in document order
-   through the suffix automaton of those before: where the matching statistic reaches `length`, the window that ends
-   there repeats; then the context is added.
+   each shard streams its contexts in document order through the suffix automaton of those before: where the matching
+   statistic reaches `length`, the window that ends there repeats; then the context is added. An automaton holds at most
+   `HOT` contexts: windows of an anchor with more are compared one by one, by a pre-aggregated minimum over their words.
 4. The windows found go back to their documents, whose words are removed.
 """
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import Scratch
@@ -185,7 +185,7 @@ def _cut(length: int):
                     for x in wanted[d]:
                         lo, n = x["spot"] >> 16, x["spot"] & 0xFFFF
                         if not x["hot"]:
-                            rows.append((x["anchor"], x["context"], x["anchor"], ids[d], ties[d], x["spot"], 0, h[base + lo : base + lo + n - 1 + length].tobytes()))
+                            rows.append((x["anchor"], x["context"], x["anchor"], ids[d], ties[d], x["spot"], -1, h[base + lo : base + lo + n - 1 + length].tobytes()))
                             continue
                         for k in range(n):
                             own = h[base + lo + k : base + lo + k + length].tobytes()
@@ -203,12 +203,12 @@ def _stream(length: int):
         deal, automaton = None, SuffixAutomaton()
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            for anchor, context, own, first, raw in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "deal", "first", "words")), strict=True):
+            for anchor, context, own, raw in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "deal", "words")), strict=True):
                 if own != deal:
                     deal, automaton = own, SuffixAutomaton()
                 sequence = np.frombuffer(raw, np.int64).tolist()
                 found = automaton.statistics(sequence)
-                mask = sum(1 << (first + k) for k, n in enumerate(found[length - 1 :]) if n >= length)
+                mask = sum(1 << k for k, n in enumerate(found[length - 1 :]) if n >= length)
                 if mask:
                     out.append((anchor, context, mask))
                 if mask.bit_count() <= len(sequence) - length:
@@ -275,27 +275,50 @@ def remove_repeated_spans(spark: SparkSession, docs: DataFrame, length: int = 20
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.expr(TIE))
     texts = docs.filter(F.length("text") >= 2 * length - 1)
     counted = texts.select("text").mapInArrow(_anchor_hashes(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    found = texts.mapInArrow(_anchors(length), "anchor long, context long, doc_id long, tie long, spot long").join(counted.filter("n > 1").select("anchor"), "anchor")
-    found = scratch.keep(found)
+    repeated = scratch.keep(counted.filter("n > 1").select("anchor"))  # by itself, so that the join below may split a hot anchor
     scratch.release()
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie", "spot")
-    firsts = scratch.keep(found.groupBy("anchor", "context").agg(F.min(order).alias("first")).select("anchor", "context", "first.doc_id", "first.tie", "first.spot"))
-    several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", (F.col("n") > HOT).alias("hot"))
+    found = scratch.keep(texts.mapInArrow(_anchors(length), "anchor long, context long, doc_id long, tie long, spot long").join(repeated, "anchor"))
+    scratch.drop(repeated)
+    scratch.release()
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie", "spot")
+    firsts = scratch.keep(found.groupBy("anchor", "context").agg(F.min(place).alias("first")).select("anchor", "context", "first.doc_id", "first.tie", "first.spot"))
+    cut = scratch.keep(_words_of_contexts(scratch, texts, firsts, length))
+    scratch.release()
+    masked = scratch.keep(_masked(firsts, cut, length))
+    scratch.drop(firsts, cut)
+    scratch.release()
+    return _removed(docs, found, masked, length)
+
+
+def _same(a: str, b: str) -> Column:
+    return (F.col(f"{a}.tie") == F.col(f"{b}.tie")) & F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))
+
+
+def _words_of_contexts(scratch: Scratch, texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
+    """The words of the first of equal contexts, where an anchor has several different ones."""
+    several = scratch.keep(firsts.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", (F.col("n") > HOT).alias("hot")))
     ask = firsts.join(several, "anchor").groupBy("doc_id", "tie").agg(F.collect_list(F.struct("anchor", "context", "spot", "hot")).alias("wanted"))
-    return _finish(scratch, docs, texts, found, firsts, ask, length)
+    cut = texts.alias("t").join(ask.alias("a"), _same("t", "a")).select("t.doc_id", "t.tie", "t.text", "a.wanted")
+    return cut.mapInArrow(_cut(length), "anchor long, context long, deal long, doc_id long, tie long, spot long, first int, words binary")
 
 
-def _finish(scratch: Scratch, docs: DataFrame, texts: DataFrame, found: DataFrame, firsts: DataFrame, ask: DataFrame, length: int) -> DataFrame:
-    cut = texts.alias("t").join(ask.alias("a"), (F.col("t.tie") == F.col("a.tie")) & F.col("t.doc_id").eqNullSafe(F.col("a.doc_id"))).select("t.doc_id", "t.tie", "t.text", "a.wanted")
-    cut = cut.mapInArrow(_cut(length), "anchor long, context long, deal long, doc_id long, tie long, spot long, first int, words binary")
-    shards = scratch.spark.conf.get("spark.sql.shuffle.partitions")
-    streamed = cut.repartition(int(shards), "deal").sortWithinPartitions("deal", F.col("doc_id").asc_nulls_last(), "tie", "spot", "first")
-    masks = streamed.mapInArrow(_stream(length), "anchor long, context long, mask long").groupBy("anchor", "context").agg(F.bit_or("mask").alias("mask"))
-    firsts = scratch.keep(firsts.join(masks, ["anchor", "context"], "left").select("anchor", "context", F.col("doc_id").alias("first_id"), F.col("tie").alias("first_tie"), F.col("spot").alias("first_spot"), F.coalesce("mask", F.lit(0).cast("long")).alias("first_mask")))
-    scratch.release()
+def _masked(firsts: DataFrame, cut: DataFrame, length: int) -> DataFrame:
+    """firsts with the windows of each that an earlier context has too."""
+    shards = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = cut.filter("first < 0").repartition(shards, "deal").sortWithinPartitions("deal", F.col("doc_id").asc_nulls_last(), "tie", "spot")
+    masks = whole.mapInArrow(_stream(length), "anchor long, context long, mask long")
+    single = cut.filter("first >= 0")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie", "spot", "first")
+    earliest = single.groupBy("deal", "words").agg(F.min(place).alias("earliest"))
+    later = single.join(earliest, ["deal", "words"]).filter(place != F.col("earliest")).select("anchor", "context", F.expr("shiftleft(1L, first)").alias("mask"))
+    masks = masks.unionByName(later).groupBy("anchor", "context").agg(F.bit_or("mask").alias("mask"))
+    return firsts.join(masks, ["anchor", "context"], "left").select("anchor", "context", F.col("doc_id").alias("first_id"), F.col("tie").alias("first_tie"), F.col("spot").alias("first_spot"), F.coalesce("mask", F.lit(0).cast("long")).alias("first_mask"))
+
+
+def _removed(docs: DataFrame, found: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     whole = F.expr("shiftleft(1L, cast(spot & 65535 as int)) - 1")
     is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tie") == F.col("first_tie")) & (F.col("spot") == F.col("first_spot"))
     hits = found.join(firsts, ["anchor", "context"]).select("doc_id", "tie", "spot", F.when(is_first, F.col("first_mask")).otherwise(whole).alias("mask")).filter("mask != 0")
     hits = hits.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("spot", "mask")).alias("hits"))
-    joined = docs.alias("t").join(hits.alias("h"), (F.col("t.tie") == F.col("h.tie")) & F.col("t.doc_id").eqNullSafe(F.col("h.doc_id")), "left").select("t.doc_id", "t.text", "h.hits")
+    joined = docs.alias("t").join(hits.alias("h"), _same("t", "h"), "left").select("t.doc_id", "t.text", "h.hits")
     return joined.mapInArrow(_remove(length), "doc_id long, n_words long, n_removed long, kept_text string")
