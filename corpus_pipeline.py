@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bagminhash, mixing, pii, quality_rules, sentencepiece
 from tidemark.llm.queries import PII_KEY, model_path
-from tidemark.llm.store import Scratch
+from tidemark.llm.store import Scratch, fresh
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.take(mixing.mix(spark, docs)).select(*docs.columns)
+    into = fresh(docs, "mix")
+    return mixing.take(mixing.mix(spark, docs, into=into), into).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

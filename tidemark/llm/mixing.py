@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .quality_rules import WORD
-from .store import Scratch
+from .store import Scratch, fresh
 
 WEIGHTS = (5, 2, 1)
 #: Hexadecimal digits of the hash per histogram: 256 buckets.
@@ -95,18 +95,20 @@ def plan_mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WE
     return scratch.keep(plan.join(found, "key", "left").select("key", "source_size", "target", "copies", F.coalesce("threshold", F.lit("")).alias("threshold")))
 
 
-def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: int = 2) -> DataFrame:
-    """docs with a struct `mix` of size, source_size, target and copies, how often the mix takes the document.
+def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: int = 2, into: str = "mix") -> DataFrame:
+    """docs with a struct named into, of size, source_size, target and copies, how often the mix takes the document.
 
-    A column of docs named mix is replaced. An empty table gives an empty one.
+    A column of docs of that name is replaced. An empty table gives an empty one.
     """
-    plan = plan_mix(spark, docs, weights, share, limit).select(F.col("key").alias("_key"), F.struct("*").alias("_plan"))
-    joined = docs.join(_small(spark, plan), source_key(F.col("source")) == F.col("_key"))
-    copies = F.col("_plan.copies") + F.when(place_of(F.col("doc_id"), F.col("text")) < F.col("_plan.threshold"), 1).otherwise(0)
-    own = F.struct(size_of(F.col("text")).alias("size"), F.col("_plan.source_size").alias("source_size"), F.col("_plan.target").alias("target"), copies.alias("copies"))
-    return joined.withColumn("mix", own).drop("_key", "_plan")
+    key, plan = fresh(docs, "_key"), fresh(docs, "_plan")
+    own = plan_mix(spark, docs, weights, share, limit).select(F.col("key").alias(key), F.struct("*").alias(plan))
+    joined = docs.join(_small(spark, own), source_key(F.col("source")) == F.col(key))
+    copies = F.col(f"{plan}.copies") + F.when(place_of(F.col("doc_id"), F.col("text")) < F.col(f"{plan}.threshold"), 1).otherwise(0)
+    made = F.struct(size_of(F.col("text")).alias("size"), F.col(f"{plan}.source_size").alias("source_size"), F.col(f"{plan}.target").alias("target"), copies.alias("copies"))
+    return joined.withColumn(into, made).drop(key, plan)
 
 
-def take(mixed: DataFrame) -> DataFrame:
+def take(mixed: DataFrame, into: str = "mix") -> DataFrame:
     """The documents that mix() takes, repeated as often as it takes them."""
-    return mixed.filter("mix.copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies")))).drop("_copy", "mix")
+    copy, copies = fresh(mixed, "_copy"), F.col(f"{into}.copies")
+    return mixed.filter(copies > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).drop(copy, into)

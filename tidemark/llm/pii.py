@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import fresh
+
 ROUNDS = 8
 #: Days from 1900-01-01 to 2099-12-31, and two radices whose product is just above.
 DAYS, DAY_RADICES = 73_049, (271, 270)
@@ -212,7 +214,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
 
     found = _let(F.regexp_extract_all(text, F.lit(FOUND), F.lit(0)), lambda all_: _let(F.transform(all_, lambda m: _pseudonym(m, key)), joined))
     none = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
-    made = docs.withColumn("_pii", F.when(text.rlike("[0-9@]"), found).otherwise(none)).withColumn(text_col, F.col("_pii.text"))
+    own = fresh(docs, "_pii")
+    made = docs.withColumn(own, F.when(text.rlike("[0-9@]"), found).otherwise(none)).withColumn(text_col, F.col(f"{own}.text"))
     if found_col:
-        made = made.withColumn(found_col, F.col("_pii.kinds"))
-    return made.drop("_pii")
+        made = made.withColumn(found_col, F.col(f"{own}.kinds"))
+    return made.drop(own)

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import fresh
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -108,18 +110,18 @@ def measurements(text: Column) -> Column:
     return _let(lines, lambda b: _let(words_of(text), lambda a: of(a, b)))
 
 
-def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with a struct `ledger`: the measurements and failed, the bits of the rules that failed.
+def ledger(docs: DataFrame, text_col: str = "text", into: str = "ledger") -> DataFrame:
+    """docs with a struct named into: the measurements and failed, the bits of the rules that failed.
 
-    A null or empty text has no words and fails few_words. A column of docs named ledger is replaced.
+    A null or empty text has no words and fails few_words. A column of docs of that name is replaced.
     """
-    measured = docs.withColumn("ledger", measurements(F.col(text_col)))
-    failed = sum((F.when(F.expr(_on_ledger(rule.failed)), F.lit(BIT[rule.name])).otherwise(0) for rule in RULES), F.lit(0))
-    return measured.withColumn("ledger", F.col("ledger").withField("failed", failed.cast("long")))
+    measured = docs.withColumn(into, measurements(F.col(text_col)))
+    failed = sum((F.when(F.expr(_on_ledger(rule.failed, into)), F.lit(BIT[rule.name])).otherwise(0) for rule in RULES), F.lit(0))
+    return measured.withColumn(into, F.col(into).withField("failed", failed.cast("long")))
 
 
-def _on_ledger(sql: str) -> str:
-    return re.sub(r"\b(n_words|word_chars|n_symbols|n_dup_lines|n_lines|n_repeat_words)\b", r"ledger.\1", sql)
+def _on_ledger(sql: str, into: str) -> str:
+    return re.sub(r"\b(n_words|word_chars|n_symbols|n_dup_lines|n_lines|n_repeat_words)\b", rf"`{into}`.\1", sql)
 
 
 def kept(version: int = CURRENT, failed: Column | None = None) -> Column:
@@ -128,7 +130,8 @@ def kept(version: int = CURRENT, failed: Column | None = None) -> Column:
 
 def apply_policy(docs: DataFrame, version: int = CURRENT, text_col: str = "text") -> DataFrame:
     """The rows of docs that a policy keeps, with their own columns."""
-    return ledger(docs, text_col).filter(kept(version)).select(*docs.columns)
+    into = fresh(docs, "ledger")
+    return ledger(docs, text_col, into).filter(kept(version, F.col(f"{into}.failed"))).select(*docs.columns)
 
 
 def ablations(ledgered: DataFrame, version: int = CURRENT) -> DataFrame:

@@ -123,7 +123,7 @@ WITH page AS (
   FROM (SELECT *, unnest(range(1, greatest(2, len(string_split(host, '.'))))) AS i FROM page WHERE host <> '')
   UNION SELECT page_id, url, fetched, 'p:' || host || '/' || array_to_string(parts[1:i], '/')
   FROM (SELECT *, unnest(range(1, least(len(parts), 3) + 1)) AS i FROM (
-    SELECT *, list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', ''), '^[^/]*/?', ''), '/'), x -> x <> '') AS parts FROM page WHERE host <> ''))
+    SELECT *, list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', ''), '^[^/]*/?', ''), '/'), lambda x: x <> '') AS parts FROM page WHERE host <> ''))
 ), held AS (
   SELECT DISTINCT page_id, list FROM keyed JOIN intervals USING (key) WHERE fetched >= since AND fetched < until
 )

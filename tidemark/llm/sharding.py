@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import Scratch
+from .store import Scratch, fresh
 
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 #: Candidate keys tried inside each bracket in a round.
@@ -88,9 +88,10 @@ def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, tolera
     rows = below(keyed, np.array([*splitters, HIGH], np.int64))[1] if splitters else np.zeros(1, np.int64)
     first = [0, *rows[:-1].tolist()]  # rows before each range
     offsets = [first[r] - first[r - r % per] for r in range(len(first))]
+    key, range_ = fresh(docs, "_key"), fresh(docs, "_range")
     steps = [1 << b for b in reversed(range(max(1, len(splitters)).bit_length()))]
     own = F.array(*(F.lit(s).cast("long") for s in splitters)) if splitters else F.array().cast("array<long>")
-    found = F.aggregate(F.array(*(F.lit(s) for s in steps)), F.lit(0), lambda at, step: F.when(F.get(own, at + step - 1) <= F.col("_key"), at + step).otherwise(at))
-    ranged = docs.withColumn("_key", F.expr(KEY)).withColumn("_range", found)
-    slot = F.row_number().over(Window.partitionBy("_range").orderBy("_key", "doc_id")) - 1 + F.element_at(F.array(*(F.lit(o).cast("long") for o in offsets)), F.col("_range") + 1)
-    return ranged.withColumn("slot", slot.cast("long")).withColumn("shard", F.floor(F.col("_range") / per).cast("int")).drop("_range", "_key")
+    found = F.aggregate(F.array(*(F.lit(s) for s in steps)), F.lit(0), lambda at, step: F.when(F.get(own, at + step - 1) <= F.col(key), at + step).otherwise(at))
+    ranged = docs.withColumn(key, F.expr(KEY)).withColumn(range_, found)
+    slot = F.row_number().over(Window.partitionBy(range_).orderBy(key, "doc_id")) - 1 + F.element_at(F.array(*(F.lit(o).cast("long") for o in offsets)), F.col(range_) + 1)
+    return ranged.withColumn("slot", slot.cast("long")).withColumn("shard", F.floor(F.col(range_) / per).cast("int")).drop(range_, key)

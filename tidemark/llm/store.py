@@ -22,6 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, after as many underscores as it takes to be no column of df, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Tables of one operator run; drop() deletes those no later step reads.
 

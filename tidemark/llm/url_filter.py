@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import fresh
+
 #: Days of a period.
 PERIOD = 64
 FOREVER = "9999-12-31"
@@ -65,5 +67,7 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
     cut = valid.withColumn("period", F.explode(F.sequence(_period(F.greatest("since", "first")), _period(F.least(F.date_sub("until", 1), F.col("last"))))))
     held = keyed.join(cut.select("list", "key", "since", "until", "period"), ["key", "period"]).filter("_day >= since AND _day < until")
     lists = held.groupBy("_url", "_day").agg(F.array_sort(F.collect_set("list")).alias("lists"))
-    joined = captures.drop("lists", "blocked").join(lists, (F.col(url_col) == F.col("_url")) & (F.col(time_col).cast("date") == F.col("_day")), "left").drop("_url", "_day")
+    url, day = fresh(captures, "_url"), fresh(captures, "_day")
+    lists = lists.withColumnsRenamed({"_url": url, "_day": day})
+    joined = captures.drop("lists", "blocked").join(lists, (F.col(url_col) == F.col(url)) & (F.col(time_col).cast("date") == F.col(day)), "left").drop(url, day)
     return joined.withColumn("lists", F.coalesce("lists", F.array().cast("array<string>"))).withColumn("blocked", F.size("lists") > 0)
