@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 from .store import Scratch
 from .words import U64, Words, _power, find_words, mix64, pieces, shingles
 
-BANDS, ROWS = 24, 5
-#: Pivots of a bucket in the first round and in later ones.
-PIVOTS = (1, 8)
+#: At similarity 0.8 a pair shares a band with probability 0.9993, at 0.9 but for one in 10 ** 7 times.
+BANDS, ROWS = 24, 6
+#: Pivots of a bucket in the first round, the second and later ones.
+PIVOTS = (1, 16, 128)
+#: Contents whose texts are picked out by a broadcast of their ids, 16 bytes each, before the exchange.
+FEW = 50_000
 #: Together with the id it stands for a row; ids may be null or repeated.
 TIE = "xxhash64(text)"
 WORDLESS = r"text IS NULL OR NOT text RLIKE '[^\\x20\\x09-\\x0D]'"
@@ -159,7 +162,8 @@ def _verify(size: int, threshold: float):
                 common, union = overlaps(a, other[0], size)
                 good.append(common >= threshold * union - 1e-9)
             keep = pa.array(np.concatenate(good)) if good else pa.array([], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+            own = ("a", "b", "root_a", "root_b")
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in own], names=list(own))
 
     return run
 
@@ -181,38 +185,56 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def _link(scratch: Scratch, contents: DataFrame, members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame | None:
-    """(node, root) of the contents that have a near duplicate; None if there are none."""
-    labels: DataFrame | None = None
-    tested: list[DataFrame] = []
-    left: list[DataFrame] = []  # (key, content) of pivots of earlier rounds
+def _only(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of pairs, if these are few; else all, which a join narrows as well."""
+    if pairs.count() > FEW // 2:
+        return texts
+    return texts.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()), "content", "left_semi")
+
+
+def _hooked(links: DataFrame) -> DataFrame:
+    """(root, new): each linked root with the smallest neighbour of its smallest neighbour, itself counted among them."""
+    edges = links.select(F.col("root_a").alias("u"), F.col("root_b").alias("v"))
+    low = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return low.alias("x").join(low.alias("y"), F.col("x.m") == F.col("y.u"), "left").select(F.col("x.u").alias("old"), F.coalesce(F.col("y.m"), F.col("x.m")).alias("new"))
+
+
+def _link(scratch: Scratch, members: DataFrame, texts: DataFrame, size: int, threshold: float) -> list[DataFrame]:
+    """Tables of verified links (a, b) that connect all contents that links of any kind connect.
+
+    members: key, content. Between rounds links are only followed two steps, which may leave one class under several
+    roots; that costs comparisons, not links.
+    """
+    found: list[DataFrame] = []
+    members = members.withColumn("root", F.col("content"))
     for turn in range(1 << 30):
-        live = members
-        if left:
-            live = live.join(reduce(DataFrame.unionByName, left), ["key", "content"], "left_anti")
-        if labels is not None:
-            live = live.join(labels, live["content"] == labels["node"], "left").select("key", "content", F.coalesce("root", "content").alias("root"))
-        else:
-            live = live.withColumn("root", F.col("content"))
-        split = live.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").select("key", "main")
-        open_ = scratch.keep(live.join(split, "key"))
-        order = Window.partitionBy("key").orderBy("content")
-        pivots = scratch.keep(open_.filter("root != main").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= PIVOTS[min(turn, 1)]).select("key", F.col("content").alias("pivot"), F.col("root").alias("pivot_root")))
+        parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("content").alias("pivot"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "root"))
+        # The largest class of a bucket waits; the next ones give a pivot each.
+        ranked = parts.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS[min(turn, len(PIVOTS) - 1)] + 1).filter("rank > 1")
+        pivots = scratch.keep(ranked.groupBy("key").agg(F.collect_list(F.struct("pivot", "root")).alias("pivots")))
         if pivots.isEmpty():
-            return labels
-        pairs = pivots.join(open_, "key").filter("root != pivot_root").select(F.least("pivot", "content").alias("a"), F.greatest("pivot", "content").alias("b")).distinct()
-        if tested:
-            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+            return found
+        open_ = members.join(pivots, "key")
+        pairs = open_.select("content", "root", F.explode("pivots").alias("p")).filter("p.root != root")
+        swap = F.col("content") > F.col("p.pivot")
+        both = F.struct("content", "root"), F.struct(F.col("p.pivot").alias("content"), F.col("p.root").alias("root"))
+        pairs = pairs.select(F.when(swap, both[1]).otherwise(both[0]).alias("x"), F.when(swap, both[0]).otherwise(both[1]).alias("y"))
+        pairs = pairs.select(F.col("x.content").alias("a"), F.col("x.root").alias("root_a"), F.col("y.content").alias("b"), F.col("y.root").alias("root_b")).distinct()
         pairs = scratch.keep(pairs)
-        tested.append(pairs)
-        left.append(pivots.select("key", F.col("pivot").alias("content")))
-        full = pairs.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
-        links = scratch.keep(full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, threshold), "a binary, b binary"))
-        scratch.drop(open_)
+        own = _only(texts, pairs)
+        full = pairs.join(own.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
+        links = scratch.keep(full.select("a", "b", "root_a", "root_b", "text_a", "text_b").mapInArrow(_verify(size, threshold), "a binary, b binary, root_a binary, root_b binary"))
+        scratch.drop(pairs)
+        rest = open_.filter(~F.exists("pivots", lambda p: p["pivot"] == F.col("content"))).select("key", "content", "root")
         if not links.isEmpty():
-            labels = components(scratch, links if labels is None else links.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+            found.append(links.select("a", "b"))
+            rest = rest.join(_hooked(links), F.col("root") == F.col("old"), "left").select("key", "content", F.coalesce("new", "root").alias("root"))
+        old, members = members, scratch.keep(rest)
+        if turn:
+            scratch.drop(old)
         scratch.release()
-    return labels
+    return found
 
 
 def near_duplicate_classes(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,16 +256,17 @@ def near_duplicate_classes(spark: SparkSession, docs: DataFrame, threshold: floa
     texts = docs.join(asked, (F.col("tie") == F.col("rep_tie")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["rep_id", "rep_tie"]).select("content", "text")
     texts = scratch.keep(texts)
     scratch.release()
-    labels = _link(scratch, contents, members, texts, size, threshold)
+    found = _link(scratch, members, texts, size, threshold)
+    labels = components(scratch, reduce(DataFrame.unionByName, found)) if found else None
     scratch.drop(members, texts)
     rooted = contents.select("content", "rep", "copies")
     rooted = rooted.withColumn("root", F.col("content")) if labels is None else rooted.join(labels, F.col("content") == F.col("node"), "left").select("content", "rep", "copies", F.coalesce("root", "content").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("rep").alias("keeper"), F.sum("copies").alias("class_rows"))
     of_content = rooted.select("content", "root").join(classes, "root")
-    found = signed.select("doc_id", "tie", "content", "n").join(of_content, "content")
-    found = found.select("doc_id", "tie", F.col("keeper.doc_id").alias("class_id"), "class_rows", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.tie").alias("keeper_tie"), F.col("n").alias("n_runs"))
+    rows = signed.select("doc_id", "tie", "content", "n").join(of_content, "content")
+    rows = rows.select("doc_id", "tie", F.col("keeper.doc_id").alias("class_id"), "class_rows", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.tie").alias("keeper_tie"), F.col("n").alias("n_runs"))
     alone = docs.filter(WORDLESS).select("doc_id", F.coalesce("tie", F.lit(0).cast("long")).alias("tie"), F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_rows"), F.col("doc_id").alias("keeper_id"), F.col("tie").alias("keeper_tie"), F.lit(0).cast("long").alias("n_runs"))
-    return found.unionByName(alone)
+    return rows.unionByName(alone)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
