@@ -24,8 +24,8 @@ MARK, SPACE = "▁", b" "
 #: Unknown characters score this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Bytes of text whose distinct chunks are solved together.
-BLOCK = 1 << 21
+#: Bytes of text whose distinct chunks are solved together; each takes some 250 bytes of memory.
+BLOCK = 1 << 19
 
 
 class DoubleArray:
