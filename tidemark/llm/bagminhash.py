@@ -11,7 +11,8 @@ document that leaves a component empty gets a horizon twice as far.
 Rows of one band hash make a bucket. Within buckets not all pairs are compared: in each round some members (pivots) are
 held against the others that are in another class so far, then leave. A bucket is done when all its members not yet
 pivots are in one class, so every pair is either compared or already linked. Nothing is capped, and a bucket of
-copies is done after one round.
+copies is done after one round. Later rounds, of the few buckets left, hold pivots against blocks of members inside
+a task, so that no row is made for a pair that turns out to be no link.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from .words import U64, Words, _power, find_words, mix64, pieces, shingles
 
 #: At similarity 0.8 a pair shares a band with probability 0.9993, at 0.9 but for one in 10 ** 7 times.
 BANDS, ROWS = 24, 6
-#: Pivots of a bucket in the first round, the second and later ones.
-PIVOTS = (1, 16, 128)
+#: Pivots of a bucket in a round; the first round has one. Members that a task holds against them.
+PIVOTS, BLOCK = 256, 500
 #: Contents whose texts are picked out by a broadcast of their ids, 16 bytes each, before the exchange.
 FEW = 50_000
 #: Together with the id it stands for a row; ids may be null or repeated.
@@ -185,11 +186,11 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def _only(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of pairs, if these are few; else all, which a join narrows as well."""
-    if pairs.count() > FEW // 2:
+def _only(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The texts of members, if these are few; else all, which a join narrows as well."""
+    if members.count() > FEW:
         return texts
-    return texts.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()), "content", "left_semi")
+    return texts.join(F.broadcast(members.select("content").distinct()), "content", "left_semi")
 
 
 def _hooked(links: DataFrame) -> DataFrame:
@@ -199,37 +200,110 @@ def _hooked(links: DataFrame) -> DataFrame:
     return low.alias("x").join(low.alias("y"), F.col("x.m") == F.col("y.u"), "left").select(F.col("x.u").alias("old"), F.coalesce(F.col("y.m"), F.col("x.m")).alias("new"))
 
 
+def _pivots(members: DataFrame, turn: int) -> DataFrame:
+    """key and pivots (pivot, root) of each bucket that is not done.
+
+    A pivot is the member of the highest degree, the sum of the sizes of all its buckets: where many texts differ from one
+    more than from each other, that is the one. Later, the largest class of a bucket waits, and
+    the others give the pivots.
+    """
+    if turn == 0:
+        top = F.max(F.struct("degree", "content")).alias("top")
+        return members.groupBy("key").agg(top).select("key", F.array(F.struct(F.col("top.content").alias("pivot"), F.col("top.content").alias("root"))).alias("pivots"))
+    parts = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
+    size = F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")
+    main = parts.agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), size).filter("roots > 1")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "content"))
+    ranked = members.join(main, "key").filter("root != main").withColumn("rank", rank).filter(F.col("rank") <= PIVOTS)
+    return ranked.groupBy("key").agg(F.collect_list(F.struct(F.col("content").alias("pivot"), "root")).alias("pivots"), F.first("blocks").alias("blocks"))
+
+
+def _in_blocks(size: int, threshold: float):
+    """Links between the pivots of a bucket and a block of its members, each read once; only those that join classes not yet joined here."""
+    names = ["a", "b", "root_a", "root_b"]
+
+    def bag_list(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        for at, _, data, offsets in pieces(column):
+            yield at, *bags(*shingles(find_words(data, offsets), size))
+
+    def run(_, members: pa.Table, pivots: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        joined: dict[bytes, bytes] = {}
+
+        def top(x: bytes) -> bytes:
+            while (y := joined.get(x, x)) != x:
+                joined[x] = joined.get(y, y)
+                x = y
+            return x
+
+        if members.num_rows and pivots.num_rows:
+            own = [(c, r) for c, r in zip(pivots.column("pivot_content").to_pylist(), pivots.column("pivot_root").to_pylist(), strict=True)]
+            held = {}
+            for at, key, of, count in bag_list(pivots.column("pivot_text").combine_chunks()):
+                for k in np.unique(of):
+                    held[at + int(k)] = (key[of == k], count[of == k])
+            contents, roots = members.column("content").to_pylist(), members.column("root").to_pylist()
+            for at, key, of, count in bag_list(members.column("text").combine_chunks()):
+                total = np.bincount(of, weights=count)
+                for k, (pivot_key, pivot_count) in held.items():
+                    place = np.minimum(np.searchsorted(pivot_key, key), len(pivot_key) - 1)
+                    same = pivot_key[place] == key
+                    common = np.bincount(of[same], weights=np.minimum(count[same], pivot_count[place[same]]), minlength=len(total))
+                    near = common >= threshold * (total + pivot_count.sum() - common) - 1e-9
+                    for m in np.flatnonzero(near & (total > 0)):
+                        x, y = (contents[at + m], roots[at + m]), own[k]
+                        if (p := top(x[1])) != (q := top(y[1])):
+                            joined[p] = q
+                            x, y = min(x, y), max(x, y)
+                            rows.append((x[0], y[0], x[1], y[1]))
+        return pa.table({n: pa.array([r[k] for r in rows], pa.binary()) for k, n in enumerate(names)})
+
+    return run
+
+
+def _block_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    key = ["key", "block"]
+    members = open_.select("key", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int").alias("block"), "content", "root").join(texts, "content").select(*key, "content", "root", "text")
+    asked = open_.groupBy("key").agg(F.first("pivots").alias("pivots"), F.first("blocks").alias("blocks")).select("key", "blocks", F.explode("pivots").alias("p"))
+    asked = asked.select("key", "blocks", F.col("p.pivot").alias("content"), "p.root").join(texts, "content").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "content", "root", "text")
+    asked = asked.select(*(F.col(c).alias(f"pivot_{c}") for c in asked.columns))
+    return members.groupBy(*key).cogroup(asked.groupBy("pivot_key", "pivot_block")).applyInArrow(_in_blocks(size, threshold), "a binary, b binary, root_a binary, root_b binary")
+
+
+def _pair_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """As there is one pivot, which a pair of texts has in common in many buckets, distinct pairs are fewest."""
+    pairs = open_.select("content", "root", F.explode("pivots").alias("p")).filter("p.root != root")
+    swap = F.col("content") > F.col("p.pivot")
+    both = F.struct("content", "root"), F.struct(F.col("p.pivot").alias("content"), F.col("p.root").alias("root"))
+    pairs = pairs.select(F.when(swap, both[1]).otherwise(both[0]).alias("x"), F.when(swap, both[0]).otherwise(both[1]).alias("y"))
+    pairs = pairs.select(F.col("x.content").alias("a"), F.col("x.root").alias("root_a"), F.col("y.content").alias("b"), F.col("y.root").alias("root_b")).distinct()
+    full = pairs.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
+    return full.select("a", "b", "root_a", "root_b", "text_a", "text_b").mapInArrow(_verify(size, threshold), "a binary, b binary, root_a binary, root_b binary")
+
+
 def _link(scratch: Scratch, members: DataFrame, texts: DataFrame, size: int, threshold: float) -> list[DataFrame]:
     """Tables of verified links (a, b) that connect all contents that links of any kind connect.
 
-    members: key, content. Between rounds links are only followed two steps, which may leave one class under several
+    members: key, content, degree. Between rounds links are only followed two steps, which may leave one class under several
     roots; that costs comparisons, not links.
     """
     found: list[DataFrame] = []
     members = members.withColumn("root", F.col("content"))
     for turn in range(1 << 30):
-        parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("content").alias("pivot"))
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "root"))
-        # The largest class of a bucket waits; the next ones give a pivot each.
-        ranked = parts.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS[min(turn, len(PIVOTS) - 1)] + 1).filter("rank > 1")
-        pivots = scratch.keep(ranked.groupBy("key").agg(F.collect_list(F.struct("pivot", "root")).alias("pivots")))
+        pivots = scratch.keep(_pivots(members, turn))
         if pivots.isEmpty():
             return found
         open_ = members.join(pivots, "key")
-        pairs = open_.select("content", "root", F.explode("pivots").alias("p")).filter("p.root != root")
-        swap = F.col("content") > F.col("p.pivot")
-        both = F.struct("content", "root"), F.struct(F.col("p.pivot").alias("content"), F.col("p.root").alias("root"))
-        pairs = pairs.select(F.when(swap, both[1]).otherwise(both[0]).alias("x"), F.when(swap, both[0]).otherwise(both[1]).alias("y"))
-        pairs = pairs.select(F.col("x.content").alias("a"), F.col("x.root").alias("root_a"), F.col("y.content").alias("b"), F.col("y.root").alias("root_b")).distinct()
-        pairs = scratch.keep(pairs)
-        own = _only(texts, pairs)
-        full = pairs.join(own.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
-        links = scratch.keep(full.select("a", "b", "root_a", "root_b", "text_a", "text_b").mapInArrow(_verify(size, threshold), "a binary, b binary, root_a binary, root_b binary"))
-        scratch.drop(pairs)
-        rest = open_.filter(~F.exists("pivots", lambda p: p["pivot"] == F.col("content"))).select("key", "content", "root")
+        if turn:
+            open_ = scratch.keep(open_)
+            own = _only(texts, open_)
+            links = scratch.keep(_block_links(open_, own, size, threshold).distinct())
+        else:
+            links = scratch.keep(_pair_links(open_, texts, size, threshold))
+        rest = open_.filter(~F.exists("pivots", lambda p: p["pivot"] == F.col("content"))).select("key", "content", "degree", "root")
         if not links.isEmpty():
             found.append(links.select("a", "b"))
-            rest = rest.join(_hooked(links), F.col("root") == F.col("old"), "left").select("key", "content", F.coalesce("new", "root").alias("root"))
+            rest = rest.join(_hooked(links), F.col("root") == F.col("old"), "left").select("key", "content", "degree", F.coalesce("new", "root").alias("root"))
         old, members = members, scratch.keep(rest)
         if turn:
             scratch.drop(old)
@@ -251,7 +325,9 @@ def near_duplicate_classes(spark: SparkSession, docs: DataFrame, threshold: floa
     named = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie")
     contents = scratch.keep(signed.groupBy("content").agg(F.min(named).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
     spread = contents.select("content", F.explode("bands").alias("key"))
-    members = scratch.keep(spread.join(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key"))
+    shared = scratch.keep(spread.join(scratch.keep(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")), "key"))
+    members = scratch.keep(shared.join(shared.groupBy("content").agg(F.sum("n").alias("degree")), "content").select("key", "content", "degree"))
+    scratch.drop(shared)
     asked = members.select("content").distinct().join(contents, "content").select("content", F.col("rep.doc_id").alias("rep_id"), F.col("rep.tie").alias("rep_tie"))
     texts = docs.join(asked, (F.col("tie") == F.col("rep_tie")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["rep_id", "rep_tie"]).select("content", "text")
     texts = scratch.keep(texts)
