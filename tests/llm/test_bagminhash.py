@@ -3,7 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from tidemark.llm.bagminhash import bag_signature, drop_near_duplicates, near_duplicate_classes
+from tidemark.llm.bagminhash import BANDS, ROWS, bag_signature, drop_near_duplicates, near_duplicate_classes
 from tidemark.llm.words import U64, mix64
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -94,3 +94,16 @@ def test_dropping_keeps_one_row_of_each_class(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicate_classes(spark, docs).collect() == [] and drop_near_duplicates(spark, docs).collect() == []
+
+
+def test_pairs_at_the_threshold_share_a_band(spark):
+    assert (1 - 0.8**ROWS) ** BANDS < 1e-4
+    rows = []
+    for seed in (993, 3100, 3106, 5492, 5537):  # of 6000 pairs at 0.8, those that share no band of 6 rows
+        r = random.Random(seed)
+        a = [f"u{r.randrange(10**9)}" for _ in range(49)]
+        b = a[:44] + [f"u{r.randrange(10**9)}" for _ in range(5)]
+        rows += [(2 * seed, " ".join(a)), (2 * seed + 1, " ".join(b))]
+    assert all(similarity(bag(a), bag(b)) == 0.8 for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True))
+    got = {x.doc_id: x.class_id for x in near_duplicate_classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .store import Scratch
 from .words import U64, Words, _power, find_words, mix64, pieces, shingles
 
-#: At similarity 0.8 a pair shares a band with probability 0.9993, at 0.9 but for one in 10 ** 7 times.
-BANDS, ROWS = 24, 6
+#: Pairs that share no band are never compared: at similarity 0.8 these are 7 in 10 ** 5, with 6 rows they would be 7 in 10 ** 4.
+BANDS, ROWS = 24, 5
 #: Pivots of a bucket in a round; the first round has one. Members that a task holds against them.
 PIVOTS, BLOCK = 256, 500
 #: Contents whose texts are picked out by a broadcast of their ids, 16 bytes each, before the exchange.
