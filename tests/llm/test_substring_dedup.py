@@ -83,3 +83,19 @@ def test_hash_is_of_kept_words(spark):
     docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
     got = {r.doc_id: r.kept_sha256 for r in digest(remove_repeated_spans(spark, docs)).collect()}
     assert got == {k: hashlib.sha256(v[2].encode()).hexdigest() for k, v in brute(rows, 20).items()}
+
+
+def test_thousands_of_null_ids_stay_apart(spark):
+    r = random.Random(11)
+    passages = [[f"p{k}.{i}" for i in range(30)] for k in range(5)]
+    texts = []
+    for i in range(3000):
+        words = [f"t{i}.{k}" for k in range(r.randint(5, 40))]
+        at = r.randint(0, len(words))
+        texts.append(" ".join(words[:at] + r.choice(passages)[r.randint(0, 8) :] + words[at:]))
+    docs = spark.createDataFrame([(None if i % 3 else 7, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    ranked = [(x.doc_id is None, x.h, x.text) for x in docs.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()]
+    want = brute([((late, h), t) for late, h, t in ranked], 20)
+    assert len(want) == 3000
+    got = [(x.doc_id is None, x.n_words, x.n_removed, x.kept_text) for x in remove_repeated_spans(spark, docs).collect()]
+    assert sorted(got) == sorted((late, *v) for (late, _), v in want.items())

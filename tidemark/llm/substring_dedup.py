@@ -36,8 +36,8 @@ from .words import _STEP, U64, Words, find_words, mix64, pieces
 ANCHOR = 8
 #: Contexts of one anchor that are dealt by the anchor; beyond that, by window.
 HOT = 512
-#: An id and the low bits of a hash of its text stand for a document, so that null or repeated ids still spread.
-TIE = "xxhash64(text) & 32767"
+#: Together with the id it stands for a document; ids may be null or repeated.
+TIE = "xxhash64(text)"
 
 
 def _runs(h: np.ndarray, size: int) -> np.ndarray:
