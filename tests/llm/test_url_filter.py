@@ -59,3 +59,14 @@ def test_validity_and_empty(spark):
     assert judge(none, e).collect() == []
     some = spark.createDataFrame([(1, "http://a", day(1))], "page_id long, url string, fetched date")
     assert judge(some, e.filter("list = 'z'")).first().lists == []
+
+
+def test_entries_of_any_depth_block(spark):
+    deep = "/".join(f"s{k}" for k in range(1, 41))
+    keys = ["p:a.org/q/r/s/t", f"p:b.co/{deep}", "p:c.net/1/2/3/4/5"]
+    e = spark.createDataFrame([(f"l{i}", k, "add", day(1)) for i, k in enumerate(keys)], "list string, key string, action string, on date")
+    urls = ["http://a.org/q//r/s/t", "http://a.org/Q/r/s/t/u?x=1", "http://a.org/q/r/s", f"https://www.b.co/{deep}/x", f"https://b.co/{deep[:-1]}", "http://c.net/1/2/3/4/5", "http://c.net/1/2/3/4/6", "http://c.net"]
+    c = spark.createDataFrame([(i, u, day(5)) for i, u in enumerate(urls)], "page_id long, url string, fetched date")
+    got = {x.page_id: x.lists for x in judge(c, e).collect()}
+    assert got == {0: ["l0"], 1: ["l0"], 2: [], 3: ["l1"], 4: [], 5: ["l2"], 6: [], 7: []}
+    assert all(x.lists == [] for x in judge(c, e.filter("key = 'p:none'")).collect())

@@ -1,7 +1,7 @@
 """URL filters by temporal list join: a capture is judged by the list entries in force when it was fetched.
 
 Dated additions and removals of a list's entries become validity intervals. A capture has a few keys, the host and
-each parent domain and each path prefix, and meets the intervals of equal key in an as-of join. Intervals are cut at
+each parent domain and each path prefix as deep as some entry's, and meets the intervals of equal key in an as-of join. Intervals are cut at
 period ends, so that of an entry that changes often only the changes of one period meet a capture.
 """
 
@@ -15,7 +15,6 @@ from .store import fresh
 #: Days of a period.
 PERIOD = 64
 FOREVER = "9999-12-31"
-MAX_PREFIXES = 3
 
 
 def normal_url(url: Column) -> Column:
@@ -25,15 +24,21 @@ def normal_url(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"^([^/:]*):[0-9]*", "$1"), r"^www\.", "")
 
 
-def keys_of(url: Column) -> Column:
-    """`d:` keys for the host and its parent domains, `p:` keys for the host with each of the first path prefixes."""
+def depths_of(entries: DataFrame) -> DataFrame:
+    """One row with depths, the distinct numbers of path parts in `p:` keys; a prefix of another depth equals none of them."""
+    parts = F.length("key") - F.length(F.replace("key", F.lit("/"), F.lit("")))
+    return entries.filter("key LIKE 'p:%'").agg(F.collect_set(parts).alias("depths"))
+
+
+def keys_of(url: Column, depths: Column) -> Column:
+    """`d:` keys for the host and its parent domains, `p:` keys for the host with each path prefix of one of the depths."""
     bare = normal_url(url)
     host = F.substring_index(bare, "/", 1)
     labels = F.split(host, r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     parts = F.filter(F.split(F.regexp_replace(bare, "^[^/]*/?", ""), "/"), lambda x: x != "")
-    depth = F.least(F.size(parts), F.lit(MAX_PREFIXES))
-    prefixes = F.when(depth > 0, F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), lambda i: F.concat(F.lit("p:"), host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")))).otherwise(F.array().cast("array<string>"))
+    deep = F.filter(depths, lambda n: (n > 0) & (n <= F.size(parts)))
+    prefixes = F.transform(deep, lambda n: F.concat(F.lit("p:"), host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/")))
     return F.when(host != "", F.array_distinct(F.concat(parents, prefixes))).otherwise(F.array().cast("array<string>"))
 
 
@@ -61,7 +66,8 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
     blocked are replaced.
     """
     asked = captures.select(F.col(url_col).alias("_url"), F.col(time_col).cast("date").alias("_day")).filter("_url IS NOT NULL AND _day IS NOT NULL").distinct()
-    keyed = asked.withColumn("key", F.explode(keys_of(F.col("_url")))).withColumn("period", _period(F.col("_day")))
+    deep = asked.crossJoin(F.broadcast(depths_of(entries)))  # one row
+    keyed = deep.withColumn("key", F.explode(keys_of(F.col("_url"), F.col("depths")))).drop("depths").withColumn("period", _period(F.col("_day")))
     span = asked.agg(F.min("_day").alias("first"), F.max("_day").alias("last"))
     valid = validity(entries).join(F.broadcast(span), (F.col("since") <= F.col("last")) & (F.col("until") > F.col("first")))  # span is one row
     cut = valid.withColumn("period", F.explode(F.sequence(_period(F.greatest("since", "first")), _period(F.least(F.date_sub("until", 1), F.col("last"))))))
