@@ -81,3 +81,26 @@ def test_nothing_but_matches_changes(spark):
 def test_luhn_and_empty(spark):
     assert spark.range(1).select(luhn(F.array(*(F.lit(int(c)) for c in "79927398713")))).first()[0] == 0
     assert make(spark, []) == {}
+
+
+def test_numbers_next_to_digits_or_capitals(spark):
+    card, iban = "4111111111111111", "DE89370400440532013000"
+    other = "GB82WEST12345698765432"
+    texts = [
+        card, f"card {card} 12/27", "4111 1111 1111 1111 123", f"no 12 {card}", f"{card} 123-45-6789", f"{card}-{card} 7", f"12-{card}-35 and 4111-1111-1111-1111-99",
+        iban, f"{iban} BIC", "DE89 3704 0044 0532 0130 00 EUR 500", f"AB12 {iban} A", f"{other} {iban} {card}", "DE89370400440532013001 BIC", "4111111111111112 12/27", "order 1234 4111 1111 1111 1111", "x " * 40_000 + card,
+    ]
+    got = make(spark, texts)
+    new, account = got[0].text, got[7].text
+    assert new != card and luhn_sum(new) == 0 and account != iban
+    spaced = " ".join(new[k : k + 4] for k in range(0, 16, 4))
+    grouped = " ".join(account[k : k + 4] for k in range(0, 22, 4))
+    assert got[1].text == f"card {new} 12/27" and got[2].text == f"{spaced} 123" and got[3].text == f"no 12 {new}"
+    assert got[4].text.startswith(f"{new} ") and got[4].pii_kinds == ["card", "ssn"] and got[5].text == f"{new}-{new} 7"
+    assert got[6].text == f"12-{new}-35 and {spaced.replace(' ', '-')}-99"
+    assert got[8].text == f"{account} BIC" and got[9].text == f"{grouped} EUR 500" and got[10].text == f"AB12 {account} A"
+    assert re.fullmatch(f"GB.{{20}} {account} {new}", got[11].text) and other not in got[11].text
+    shape = lambda t: re.sub("[A-Z]", "A", re.sub("[0-9]", "0", t))
+    assert [shape(got[i].text) for i in range(len(texts))] == [shape(t) for t in texts]
+    assert [got[i].text for i in (12, 13)] == texts[12:14] and got[12].pii_kinds == got[13].pii_kinds == []
+    assert got[14].text == f"order 1234 {spaced}" and got[15].text == "x " * 40_000 + new

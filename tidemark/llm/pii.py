@@ -2,7 +2,9 @@
 
 Candidates are found by one pattern, validated by their kind's own rule (check digits, calendar, octets, area codes) and
 mapped by a permutation of all valid values of that kind: a value keeps its format and separators, stays valid, and
-gets the same pseudonym wherever it stands. What fails validation is left as it is.
+gets the same pseudonym wherever it stands. What fails validation is left as it is. Cards and IBANs may be followed or
+preceded by what looks like more of them. So every admissible start and end is validated, and the pattern for a text has
+its valid ones in place of the two kinds' own patterns. The longest valid one at the leftmost place is taken.
 
 A value is an array of positions, each with its own radix. In every round one half is shifted, position by position and
 modulo its radix, by a keyed hash of the other half, which is a bijection for any radices.
@@ -31,8 +33,15 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})" + _END,
     "card": _EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END,
 }
+#: Characters of an IBAN by country, as registered; of other countries any number may do.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 KINDS = tuple(PATTERNS)
-FOUND = "|".join(PATTERNS.values())
+#: Nothing outside of FOUND changes: a value, or the stretch around what looks like a card or IBAN, whose ends no value crosses.
+_WITHIN = "[0-9A-Za-z@._%+()/ -]"
+FOUND = "|".join([rf"(?<!{_WITHIN})(?={_WITHIN}*?(?:{PATTERNS['card']}|{PATTERNS['iban']})){_WITHIN}++", *PATTERNS.values()])
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -170,13 +179,19 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.transform(_chars(text), value), F.lit(0), lambda s, x: F.when(x > 9, s * 100 + x).otherwise(s * 10 + x) % 97)
 
 
+def _iban_valid(tight: Column) -> Column:
+    country = F.substr(tight, F.lit(1), F.lit(2))
+    fits = F.coalesce(*(F.when(country.isin(*names.split()), F.length(tight) == n) for n, names in IBAN_LENGTHS.items()), F.length(tight) >= 15)
+    return fits & (_mod97(F.concat(F.substr(tight, F.lit(5), F.length(tight)), F.substr(tight, F.lit(1), F.lit(4)))) == 1)
+
+
 def _iban(m: Column, key: str) -> Column:
     def filled(tight: Column) -> Column:
         own = _let(F.substr(tight, F.lit(5), F.length(tight)), lambda x: _letters(x, key, "iban"))
         country = F.substr(tight, F.lit(1), F.lit(2))
         new = _let(own, lambda x: F.concat(country, F.lpad((98 - _mod97(F.concat(x, country, F.lit("00")))).cast("string"), 2, "0"), x))
         whole = _let(new, lambda x: _refill(m, "[0-9A-Z]", _chars(x)))
-        return F.when(_mod97(F.concat(F.substr(tight, F.lit(5), F.length(tight)), F.substr(tight, F.lit(1), F.lit(4)))) == 1, whole).otherwise(m)
+        return F.when(_iban_valid(tight), whole).otherwise(m)
 
     return _let(F.replace(m, F.lit(" "), F.lit("")), filled)
 
@@ -197,6 +212,24 @@ def _pseudonym(m: Column, key: str) -> Column:
     return F.coalesce(out, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("text")))
 
 
+def _valid(text: Column, kind: str, valid: Callable[[Column], Column]) -> Column:
+    """A pattern of the valid values of a kind in the text, from any admissible start to any admissible end; null if there are none."""
+    ends = lambda c, n: F.substr(c, n, F.lit(1)).rlike("[0-9A-Z]") & ~F.substr(c, n + 1, F.lit(1)).rlike("[0-9A-Z]")
+    starts = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?=({PATTERNS[kind]}))"), F.lit(1)))
+    tried = F.flatten(F.transform(starts, lambda c: F.transform(F.filter(F.sequence(F.lit(13), F.length(c)), lambda n: ends(c, n)), lambda n: F.substr(c, F.lit(1), n))))
+    good = F.sort_array(F.array_distinct(F.filter(tried, valid)), asc=False)  # of two with one start the longer comes first
+    return _let(good, lambda g: F.when(F.size(g) > 0, F.concat(F.lit(_EDGE + "(?:"), F.array_join(g, "|"), F.lit(")" + _END))))
+
+
+def _values(text: Column) -> Column:
+    """A pattern of all kinds with the text's valid cards and IBANs in place of what looks like one."""
+    own = {
+        "card": _valid(text, "card", lambda x: _let(_digits(x), lambda d: (F.size(d) >= 13) & (luhn(d) == 0))),
+        "iban": _valid(text, "iban", lambda x: _let(F.replace(x, F.lit(" "), F.lit("")), _iban_valid)),
+    }
+    return F.concat_ws("|", *(own.get(kind, F.lit(PATTERNS[kind])) for kind in KINDS))
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: str | None = "pii_kinds") -> DataFrame:
     """docs with pseudonyms in the text, and in found_col the kinds replaced, in text order; without it if None.
 
@@ -205,17 +238,20 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     """
     text = F.col(text_col)
 
-    def joined(new: Column) -> Column:
-        parts = F.split(text, FOUND, -1)
+    def joined(pattern: Column, new: Column) -> Column:
+        parts = F.split(text, pattern, -1)
         return F.struct(
             _let(parts, lambda p: F.array_join(F.transform(p, lambda x, i: F.concat(x, F.coalesce(F.get(new, i)["text"], F.lit("")))), "")).alias("text"),
             F.filter(F.transform(new, lambda x: x["kind"]), lambda k: k.isNotNull()).alias("kinds"),
         )
 
-    found = _let(F.regexp_extract_all(text, F.lit(FOUND), F.lit(0)), lambda all_: _let(F.transform(all_, lambda m: _pseudonym(m, key)), joined))
+    def replaced(pattern: Column) -> Column:
+        return _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda all_: _let(F.transform(all_, lambda m: _pseudonym(m, key)), lambda new: joined(pattern, new)))
+
+    found = _let(_values(text), replaced)
     none = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
     own = fresh(docs, "_pii")
-    made = docs.withColumn(own, F.when(text.rlike("[0-9@]"), found).otherwise(none)).withColumn(text_col, F.col(f"{own}.text"))
+    made = docs.withColumn(own, F.when(text.rlike(FOUND), found).otherwise(none)).withColumn(text_col, F.col(f"{own}.text"))
     if found_col:
         made = made.withColumn(found_col, F.col(f"{own}.kinds"))
     return made.drop(own)
