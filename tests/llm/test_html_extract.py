@@ -42,3 +42,13 @@ def test_given_pages(spark):
         inner = re.search(r"<article>(.*?)</article>", html[r.page_id], re.S)[1]
         blocks = [" ".join(unescape(re.sub(r"<[^>]*>", " " if False else "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n".join(b for b in blocks if b)
+
+
+def test_title_and_lead_of_a_long_text_stay(spark):
+    page = "<body><div class=menu2><a href=/>home</a> <a href=/b>all of the posts</a></div><div class=post><h1>Title {0}</h1><p>Lead {0}</p><div class=wrap><div class=body>{1}</div></div></div><div class=links><a href=/c>one more post</a></div></body>"
+    long = "".join(f"<p>{'many words ' * 30}{k}</p>" for k in range(20))
+    rows = [(i, f"http://a.org/{i}", page.format(i, long if i else "<p>short</p>")) for i in range(4)]
+    got = {r.page_id: r.text.split("\n") for r in extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == ["Title 0", "Lead 0", "short"]
+    assert all(got[i][:2] == [f"Title {i}", f"Lead {i}"] and len(got[i]) == 22 for i in (1, 2, 3))
+    assert text_of(parse(f"<h1>Title</h1><p>Lead</p><div>{long}</div>"), None).startswith("Title\nLead\nmany")

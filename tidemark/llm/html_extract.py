@@ -1,7 +1,7 @@
 """Main text of web pages by consensus container paths of their hosts.
 
 Pages of one host come from few templates. Each page's containers are scored by the text of their paragraphs, less what
-is in links; the best one casts a vote for its path, the tag and class names from the body down with digits
+is in links; the best one, with what its ancestors add to it, casts a vote for its path, the tag and class names from the body down with digits
 generalised. Votes are summed per host and path in Spark, and every page of the host is extracted again along the
 winning path. A page without that path falls back on its own best container, and one without containers on its body.
 """
@@ -158,12 +158,29 @@ def parse(source: str) -> Page:
 
 
 def best(page: Page) -> int:
-    """The container of most text; parents get what their children have, less a tenth a level. article and main count double."""
-    total = [n.score for n in page.nodes]
+    """The container of most text, or the ancestor that adds text to it which isn't mostly links, up to an article or main.
+
+    For the most, parents get what their children have, less a tenth a level; article and main count double. The body is
+    such an ancestor only if text stands in it directly, not for other containers beside the best one.
+    """
+    total, score, length = [n.score for n in page.nodes], [n.score for n in page.nodes], [0] * len(page.nodes)
+    for k, words in page.blocks:
+        length[k] += len(words)
     for k in range(len(page.nodes) - 1, 0, -1):
-        total[page.parents[k]] += 0.9 * total[k]
+        up = page.parents[k]
+        total[up] += 0.9 * total[k]
+        score[up] += score[k]
+        length[up] += length[k]
     total = [t * (2 if n.tag in ("article", "main") else 1) for t, n in zip(total, page.nodes, strict=True)]
-    return max(range(len(total)), key=lambda k: (total[k], -k))
+    top = at = max(range(len(total)), key=lambda k: (total[k], -k))
+    while at and page.nodes[top].tag not in ("article", "main"):
+        at = page.parents[at]
+        added = length[at] - length[top]
+        if added and (2 * (score[at] - score[top]) < added or at == 0 and not page.nodes[0].score):
+            break
+        if added:
+            top = at
+    return top
 
 
 def text_of(page: Page, path: str | None) -> str:
