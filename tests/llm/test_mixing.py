@@ -28,7 +28,7 @@ def water(sizes, weights=(5, 2, 1), share=1.5, limit=2):
 def rows(seed, n=400):
     r = random.Random(seed)
     sources = ["b", "a", "é", "z" * 5, None, "", "src10", "src2"]
-    out = [(i, r.choice(sources[: 3 + seed]), " ".join("w" * r.randint(1, 400) if False else "w" for _ in range(r.randint(0, 60)))) for i in range(n)]
+    out = [(i, r.choice(sources[: 3 + seed]), " ".join(["w"] * r.randint(0, 60))) for i in range(n)]
     out += [(n, "only", "one big " * 500), (n + 1, "none", None), (n + 2, "none", " "), (None, "a", "null id"), (None, "a", "null id"), (3, "a", "same id")]
     return out
 
@@ -67,6 +67,13 @@ def test_taking_repeats_rows(spark):
     assert take(mixed).columns == docs.columns and take(mixed).count() == mixed.agg({"mix.copies": "sum"}).first()[0]
 
 
+def test_texts_without_words_stay_within_the_limit(spark):
+    r = random.Random(5)
+    data = [(i, s, r.choice(["", None, " ", "w w w"])) for s in ("a", "b") for i in range(80)]
+    got = mix(spark, spark.createDataFrame(data, "doc_id long, source string, text string"), share=9.0).select("mix.size", "mix.copies").collect()
+    assert len(got) == len(data) and all(x.copies <= 2 for x in got) and all(x.copies == 2 for x in got if x.size)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mix(spark, docs).collect() == [] and plan_mix(spark, docs).collect() == []

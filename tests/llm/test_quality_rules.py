@@ -52,6 +52,11 @@ def test_policies_and_ablations(spark):
         assert r.kept_without == sum(b & policy & ~r.bit == 0 for b in bits)
 
 
+def test_a_policy_measures_once(spark):
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts())], "text string, doc_id long")
+    assert apply_policy(docs)._jdf.queryExecution().executedPlan().toString().count("xxhash64") == 1
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "text string, doc_id long")
     assert ledger(docs).collect() == [] and apply_policy(docs).collect() == []

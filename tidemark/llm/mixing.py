@@ -98,12 +98,15 @@ def plan_mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WE
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: int = 2, into: str = "mix") -> DataFrame:
     """docs with a struct named into, of size, source_size, target and copies, how often the mix takes the document.
 
-    A column of docs of that name is replaced. An empty table gives an empty one.
+    Null texts and texts without words have size 0: whether they are taken changes no sum, but it is never more than
+    limit times. Null sources are one source. Rows of equal id and text are taken alike. A column of docs of the struct's
+    name is replaced. An empty table gives an empty one.
     """
     key, plan = fresh(docs, "_key"), fresh(docs, "_plan")
     own = plan_mix(spark, docs, weights, share, limit).select(F.col("key").alias(key), F.struct("*").alias(plan))
     joined = docs.join(_small(spark, own), source_key(F.col("source")) == F.col(key))
-    copies = F.col(f"{plan}.copies") + F.when(place_of(F.col("doc_id"), F.col("text")) < F.col(f"{plan}.threshold"), 1).otherwise(0)
+    more = F.when(place_of(F.col("doc_id"), F.col("text")) < F.col(f"{plan}.threshold"), 1).otherwise(0)
+    copies = F.least(F.col(f"{plan}.copies") + more, F.lit(limit))
     made = F.struct(size_of(F.col("text")).alias("size"), F.col(f"{plan}.source_size").alias("source_size"), F.col(f"{plan}.target").alias("target"), copies.alias("copies"))
     return joined.withColumn(into, made).drop(key, plan)
 

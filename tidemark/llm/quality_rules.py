@@ -7,8 +7,9 @@ rule, needs the ledger only.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,26 +23,27 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """failed: SQL over the measurements, never null."""
+    """failed: a condition on the struct of measurements, never null."""
 
     name: str
-    failed: str
+    failed: Callable[[Column], Column]
 
 
 #: A rule's place is its bit; rules are only ever added at the end.
 RULES = (
-    Rule("few_words", "n_words < 50"),
-    Rule("repeated_runs", "100 * n_repeat_words > 50 * n_words"),
-    Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("repeated_lines", "n_lines >= 4 AND 100 * n_dup_lines > 60 * n_lines"),
-    Rule("long_words", "word_chars > 40 * n_words"),
-    Rule("short_words", "2 * word_chars < 3 * n_words"),
+    Rule("few_words", lambda m: m["n_words"] < 50),
+    Rule("repeated_runs", lambda m: 100 * m["n_repeat_words"] > 50 * m["n_words"]),
+    Rule("symbols", lambda m: 10 * m["n_symbols"] > m["n_words"]),
+    Rule("repeated_lines", lambda m: (m["n_lines"] >= 4) & (100 * m["n_dup_lines"] > 60 * m["n_lines"])),
+    Rule("long_words", lambda m: m["word_chars"] > 40 * m["n_words"]),
+    Rule("short_words", lambda m: 2 * m["word_chars"] < 3 * m["n_words"]),
 )
 BIT = {rule.name: 1 << k for k, rule in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_runs"]
 #: Version to mask of the rules that reject.
 POLICIES = {1: BASE, 2: BASE | BIT["symbols"] | BIT["repeated_lines"], 3: (1 << len(RULES)) - 1}
 CURRENT = 3
+MEASURED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 
 
 def _let(value: Column, body) -> Column:
@@ -115,13 +117,13 @@ def ledger(docs: DataFrame, text_col: str = "text", into: str = "ledger") -> Dat
 
     A null or empty text has no words and fails few_words. A column of docs of that name is replaced.
     """
-    measured = docs.withColumn(into, measurements(F.col(text_col)))
-    failed = sum((F.when(F.expr(_on_ledger(rule.failed, into)), F.lit(BIT[rule.name])).otherwise(0) for rule in RULES), F.lit(0))
-    return measured.withColumn(into, F.col(into).withField("failed", failed.cast("long")))
+    return docs.withColumn(into, _let(measurements(F.col(text_col)), _judged))
 
 
-def _on_ledger(sql: str, into: str) -> str:
-    return re.sub(r"\b(n_words|word_chars|n_symbols|n_dup_lines|n_lines|n_repeat_words)\b", rf"`{into}`.\1", sql)
+def _judged(m: Column) -> Column:
+    """The measurements with failed. As both come from one expression, a filter on failed measures a text once."""
+    bits = (F.when(rule.failed(m), F.lit(BIT[rule.name]).cast("long")).otherwise(0) for rule in RULES)
+    return F.struct(*(m[c].alias(c) for c in MEASURED), reduce(lambda a, b: a.bitwiseOR(b), bits).alias("failed"))
 
 
 def kept(version: int = CURRENT, failed: Column | None = None) -> Column:
