@@ -1,10 +1,13 @@
 """Format-preserving pseudonyms by keyed Feistel networks, in native expressions only.
 
-Candidates are found by one pattern, validated by their kind's own rule (check digits, calendar, octets, area codes) and
-mapped by a permutation of all valid values of that kind: a value keeps its format and separators, stays valid, and
-gets the same pseudonym wherever it stands. What fails validation is left as it is. Cards and IBANs may be followed or
-preceded by what looks like more of them. So every admissible start and end is validated, and the pattern for a text has
-its valid ones in place of the two kinds' own patterns. The longest valid one at the leftmost place is taken.
+Candidates are found by constant patterns, validated by their kind's own rule (check digits, calendar, octets, area codes)
+and mapped by a permutation of all valid values of that kind: a value keeps its format and separators, stays valid, and
+gets the same pseudonym wherever it stands. What fails validation is left as it is.
+
+Two passes put marks around what they replace. The first takes the kinds with a shape of their own. The second takes cards and
+IBANs from the stretches of digits and capitals left, where more digits or capitals may stand on both sides: a stretch is
+cut in groups, and of every group the number of groups that make the longest valid value from there is found, at most 34
+groups on. The leftmost values are taken. Both passes take time in proportion to the text.
 
 A value is an array of positions, each with its own radix. In every round one half is shifted, position by position and
 modulo its radix, by a keyed hash of the other half, which is a bijection for any radices.
@@ -20,19 +23,22 @@ from pyspark.sql import functions as F
 from .store import fresh
 
 ROUNDS = 8
-#: Days from 1900-01-01 to 2099-12-31, and two radices whose product is just above.
-DAYS, DAY_RADICES = 73_049, (271, 270)
+#: Months from 1900 to 2099, the days 13 to 31 of them all, and two radices whose product is just above.
+MONTHS, LATE, LATE_RADICES = 2400, 44_249, (211, 210)
+DAYS = 73_049
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
-PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": _EDGE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _END,
-    "hex": _EDGE + r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)" + _END,
-    "date": _EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
-    "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
-    "ssn": _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})" + _END,
-    "card": _EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END,
+#: What follows _EDGE.
+_SHAPES = {
+    "email": r"(?<![._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _END,
+    "hex": r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)" + _END,
+    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
+    "ip": r"(?<![.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
+    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
+    "phone": r"(?<![+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})" + _END,
+    "card": r"[0-9](?:[ -]?[0-9]){12,18}" + _END,
 }
+PATTERNS = {kind: _EDGE + shape for kind, shape in _SHAPES.items()}
 #: Characters of an IBAN by country, as registered; of other countries any number may do.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
@@ -44,6 +50,23 @@ _WITHIN = "[0-9A-Za-z@._%+()/ -]"
 FOUND = "|".join([rf"(?<!{_WITHIN})(?={_WITHIN}*?(?:{PATTERNS['card']}|{PATTERNS['iban']})){_WITHIN}++", *PATTERNS.values()])
 
 
+#: Around a replaced value stand a mark of its kind and a closing one. A text that has such characters is escaped first.
+OPEN = "".join(chr(0xFDD0 + k) for k in range(len(KINDS)))
+CLOSE, ESCAPE = chr(0xFDD0 + len(KINDS)), chr(0xFDD1 + len(KINDS))
+_SAFE = "!#$&'()*,;"
+_NUMBERS = "(?=[0-9(+])(?:" + "|".join(_SHAPES[kind] for kind in ("date", "ip", "ssn", "phone"))
+_OTHERS = f"{_EDGE}(?:{_SHAPES['email']}|{_SHAPES['hex']}|{_NUMBERS}))"
+#: What texts without candidates, nearly all, don't have; one look back keeps it out of the middle of words.
+_ANY = f"{_EDGE}(?:{_NUMBERS}|{_SHAPES['card']})|{_SHAPES['iban']}|{_SHAPES['hex']})"
+#: What is replaced already, with what touches it, or a stretch with what makes its first or last group invalid.
+_STRETCH = f"[{OPEN}][^{CLOSE}]*+{CLOSE}[0-9A-Za-z]*+|[a-z]?[0-9A-Z -]{{13,}}+(?:[a-z@][0-9A-Za-z]*+)?"
+#: Groups of a card and of an IBAN at most, and the marks of a group where one of so many groups begins.
+CARD_GROUPS, IBAN_GROUPS = 19, 34
+_CARD_AT, _IBAN_AT = "".join(chr(0x101 + k) for k in range(CARD_GROUPS)), "".join(chr(0x201 + k) for k in range(IBAN_GROUPS))
+_AT = f"[{_CARD_AT}{_IBAN_AT}]?"
+_WINDOWS = "|".join([rf"{c}[0-9]++(?:[ -]{_AT}[0-9]++){{{k}}}" for k, c in enumerate(_CARD_AT)] + [rf"{c}[0-9A-Z]++(?: {_AT}[0-9A-Z]++){{{k}}}" for k, c in enumerate(_IBAN_AT)])
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -120,7 +143,7 @@ def _card(m: Column, key: str) -> Column:
         front = _let(F.slice(digits, F.lit(1), F.size(digits) - 1), lambda v: feistel(v, _same(10, v), F.lit("card"), key))
         return _let(front, lambda v: _let(F.concat(v, F.array((10 - luhn(F.concat(v, F.array(F.lit(0))))) % 10)), lambda x: _refill(m, "[0-9]", x.cast("array<string>"))))
 
-    return _let(_digits(m), lambda digits: F.when(luhn(digits) == 0, filled(digits)).otherwise(m))
+    return _let(_digits(m), filled)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -150,28 +173,57 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    """Calendar dates of 1900 to 2099, all formats linked; a day outside the range of the radices is permuted again.
+    """Calendar dates of 1900 to 2099, all formats linked; others are left as they are.
 
     Whether 03/04/2020 is in March or April can't be told: with dots or a first number over 12 the day comes first, else
-    the month.
+    the month. Days up to 12 and later ones are permuted apart, so that a date with slashes keeps its reading, and no two
+    texts of one format get the same pseudonym.
     """
     iso = m.rlike("^[0-9]{4}-")
     day_first = m.contains(".") | (F.substr(m, F.lit(1), F.lit(2)) > "12")
     part = lambda at, n: F.substr(m, F.lit(at), F.lit(n))
     text = F.when(iso, m).when(day_first, F.concat_ws("-", part(7, 4), part(4, 2), part(1, 2))).otherwise(F.concat_ws("-", part(7, 4), part(1, 2), part(4, 2)))
-    index = lambda v: F.get(v, 0) * DAY_RADICES[1] + F.get(v, 1)
-    again = lambda v: feistel(v, F.array(*(F.lit(r) for r in DAY_RADICES)), F.lit("date"), key)
-
-    def filled(n: Column) -> Column:
-        start = F.array(F.floor(n / DAY_RADICES[1]).cast("int"), n % DAY_RADICES[1])
-        # Each step leaves the range with probability 0.002; the walk of a valid day is back in it after at most 121 steps.
-        end = F.aggregate(F.sequence(F.lit(1), F.lit(DAY_RADICES[0] * DAY_RADICES[1] - DAYS + 1)), again(start), lambda v, _: F.when(index(v) < DAYS, v).otherwise(again(v)))
-        day = _let(end, lambda v: F.date_add(F.lit("1900-01-01").cast("date"), index(v)))
+
+    def shown(day: Column) -> Column:
         slashed = F.when(F.substr(m, F.lit(1), F.lit(2)) > "12", F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy"))
         return F.when(iso, F.date_format(day, "yyyy-MM-dd")).when(m.contains("."), F.date_format(day, "dd.MM.yyyy")).otherwise(slashed)
 
-    days = F.datediff(F.try_to_date(text, "yyyy-MM-dd"), F.lit("1900-01-01").cast("date"))
-    return _let(days, lambda n: F.when(n.between(0, DAYS - 1), filled(n)).otherwise(m))
+    def moved(day: Column) -> Column:
+        month = (F.year(day) - 1900) * 12 + F.month(day) - 1
+        new = F.when(F.day(day) <= 12, _early(month, F.day(day) - 1, key)).otherwise(_let(_late(_late_rank(month) + F.day(day) - 13, key), _late_day))
+        return _let(new, shown)
+
+    return _let(F.try_to_date(text, "yyyy-MM-dd"), lambda day: F.when(F.year(day).between(1900, 2099), moved(day)).otherwise(m))
+
+
+def _first_of(month: Column) -> Column:
+    return F.add_months(F.lit("1900-01-01").cast("date"), month)
+
+
+def _early(month: Column, day: Column, key: str) -> Column:
+    new = feistel(F.array(month, day), F.array(F.lit(MONTHS), F.lit(12)), F.lit("date to 12"), key)
+    return _let(new, lambda v: F.date_add(_first_of(F.get(v, 0)), F.get(v, 1)))
+
+
+def _late_rank(month: Column) -> Column:
+    """How many days from 13 on there are in earlier months."""
+    return F.datediff(_first_of(month), F.lit("1900-01-01").cast("date")) - 12 * month
+
+
+def _late(rank: Column, key: str) -> Column:
+    """The permuted rank; one outside of the range is permuted again, of which there are 61, so within as many steps it is back."""
+    base, excess = LATE_RADICES[1], LATE_RADICES[0] * LATE_RADICES[1] - LATE
+    index = lambda v: F.get(v, 0) * base + F.get(v, 1)
+    again = lambda v: feistel(v, F.array(*(F.lit(r) for r in LATE_RADICES)), F.lit("date from 13"), key)
+    start = _let(rank, lambda n: F.array(F.floor(n / base).cast("int"), n % base))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(excess)), again(start), lambda v, _: F.when(index(v) < LATE, v).otherwise(again(v)), index)
+
+
+def _late_day(rank: Column) -> Column:
+    """The month is the last one whose rank isn't above; months of 28 to 31 days never stray further than one from the mean."""
+    near = F.floor(rank * MONTHS / LATE).cast("int")
+    month = F.when((near + 1 < MONTHS) & (_late_rank(near + 1) <= rank), near + 1).when(_late_rank(near) <= rank, near).otherwise(near - 1)
+    return _let(month, lambda k: F.date_add(_first_of(k), rank - _late_rank(k) + 12))
 
 
 def _mod97(text: Column) -> Column:
@@ -179,10 +231,13 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.transform(_chars(text), value), F.lit(0), lambda s, x: F.when(x > 9, s * 100 + x).otherwise(s * 10 + x) % 97)
 
 
+def _iban_length(country: Column) -> Column:
+    """Null for a country that isn't listed."""
+    return F.coalesce(*(F.when(country.isin(*names.split()), F.lit(n)) for n, names in IBAN_LENGTHS.items()))
+
+
 def _iban_valid(tight: Column) -> Column:
-    country = F.substr(tight, F.lit(1), F.lit(2))
-    fits = F.coalesce(*(F.when(country.isin(*names.split()), F.length(tight) == n) for n, names in IBAN_LENGTHS.items()), F.length(tight) >= 15)
-    return fits & (_mod97(F.concat(F.substr(tight, F.lit(5), F.length(tight)), F.substr(tight, F.lit(1), F.lit(4)))) == 1)
+    return _mod97(F.concat(F.substr(tight, F.lit(5), F.length(tight)), F.substr(tight, F.lit(1), F.lit(4)))) == 1
 
 
 def _iban(m: Column, key: str) -> Column:
@@ -190,68 +245,109 @@ def _iban(m: Column, key: str) -> Column:
         own = _let(F.substr(tight, F.lit(5), F.length(tight)), lambda x: _letters(x, key, "iban"))
         country = F.substr(tight, F.lit(1), F.lit(2))
         new = _let(own, lambda x: F.concat(country, F.lpad((98 - _mod97(F.concat(x, country, F.lit("00")))).cast("string"), 2, "0"), x))
-        whole = _let(new, lambda x: _refill(m, "[0-9A-Z]", _chars(x)))
-        return F.when(_iban_valid(tight), whole).otherwise(m)
+        return _let(new, lambda x: _refill(m, "[0-9A-Z]", _chars(x)))
 
     return _let(F.replace(m, F.lit(" "), F.lit("")), filled)
 
 
-_BY_KIND = {"email": _email, "iban": _iban, "hex": _hex, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
+_SHAPED = {"email": _email, "hex": _hex, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone}
 
 
-def _replaced(m: Column, kind: str) -> Callable[[Column], Column]:
-    return lambda x: F.struct(F.when(x != m, F.lit(kind)).alias("kind"), x.alias("text"))
+def _marked(kind: str, text: Column) -> Column:
+    return F.concat(F.lit(OPEN[KINDS.index(kind)]), text, F.lit(CLOSE))
 
 
-def _pseudonym(m: Column, key: str) -> Column:
-    """A struct of the kind, null for what failed validation, and the text that goes in."""
-    out = F.lit(None).cast("struct<kind:string,text:string>")
-    for kind in reversed(KINDS):
-        new = _let(_BY_KIND[kind](m, key), _replaced(m, kind))
-        out = F.when(m.rlike(rf"\A(?:{PATTERNS[kind]})\z"), new).otherwise(out)
-    return F.coalesce(out, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("text")))
+def _shaped(m: Column, key: str) -> Column:
+    """The pseudonym of a match of _OTHERS between marks, or the match if it fails validation."""
+    out = m
+    for kind in reversed(_SHAPED):
+        out = F.when(m.rlike(rf"\A(?:{PATTERNS[kind]})\z"), _let(_SHAPED[kind](m, key), _if_new(m, kind))).otherwise(out)
+    return out
 
 
-def _valid(text: Column, kind: str, valid: Callable[[Column], Column]) -> Column:
-    """A pattern of the valid values of a kind in the text, from any admissible start to any admissible end; null if there are none."""
-    ends = lambda c, n: F.substr(c, n, F.lit(1)).rlike("[0-9A-Z]") & ~F.substr(c, n + 1, F.lit(1)).rlike("[0-9A-Z]")
-    starts = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?=({PATTERNS[kind]}))"), F.lit(1)))
-    tried = F.flatten(F.transform(starts, lambda c: F.transform(F.filter(F.sequence(F.lit(13), F.length(c)), lambda n: ends(c, n)), lambda n: F.substr(c, F.lit(1), n))))
-    good = F.sort_array(F.array_distinct(F.filter(tried, valid)), asc=False)  # of two with one start the longer comes first
-    return _let(good, lambda g: F.when(F.size(g) > 0, F.concat(F.lit(_EDGE + "(?:"), F.array_join(g, "|"), F.lit(")" + _END))))
+def _if_new(m: Column, kind: str) -> Callable[[Column], Column]:
+    return lambda x: F.when(x != m, _marked(kind, x)).otherwise(m)
 
 
-def _values(text: Column) -> Column:
-    """A pattern of all kinds with the text's valid cards and IBANs in place of what looks like one."""
-    own = {
-        "card": _valid(text, "card", lambda x: _let(_digits(x), lambda d: (F.size(d) >= 13) & (luhn(d) == 0))),
-        "iban": _valid(text, "iban", lambda x: _let(F.replace(x, F.lit(" "), F.lit("")), _iban_valid)),
-    }
-    return F.concat_ws("|", *(own.get(kind, F.lit(PATTERNS[kind])) for kind in KINDS))
+def _longest(groups: Column, member: str, most: int, valid: Callable[[Column], Column]) -> Column:
+    """How many of the groups, from the first on, make the longest valid value; 0 if none do. Groups after the first have their separator."""
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.lit(0).alias("best"), F.lit(True).alias("open"))
+
+    def step(s: Column, group: Column) -> Column:
+        text = F.concat(s["text"], F.regexp_replace(group, "^[ -]", ""))
+        open_ = s["open"] & group.rlike(member) & (F.length(text) <= most)
+        return _let(F.struct(text.alias("text"), open_.alias("open")), lambda t: F.when(t["open"], F.struct(t["text"].alias("text"), (s["n"] + 1).alias("n"), F.when(valid(t["text"]), s["n"] + 1).otherwise(s["best"]).alias("best"), F.lit(True).alias("open"))).otherwise(F.struct(s["text"].alias("text"), s["n"].alias("n"), s["best"].alias("best"), F.lit(False).alias("open"))))
+
+    return F.aggregate(groups, start, step, lambda s: s["best"])
+
+
+def _card_valid(text: Column) -> Column:
+    return F.when(F.length(text) >= 13, _let(_digits(text), lambda d: luhn(d) == 0)).otherwise(False)
+
+
+def _values(stretch: Column, key: str) -> Column:
+    """A stretch with its cards and IBANs replaced and between marks."""
+
+    def mark(group: Column, groups: Column, at: Column) -> Column:
+        first, rest = F.regexp_replace(group, "^[ -]", ""), lambda n: F.slice(groups, at + 2, n - 1)
+        card = _longest(F.concat(F.array(first), rest(CARD_GROUPS)), "^[ -]?[0-9]+$", 19, _card_valid)
+        fits = lambda t, n: F.when(F.coalesce(F.length(t) == n, F.length(t) >= 15), _iban_valid(t)).otherwise(False)
+        iban = _let(_iban_length(F.substr(first, F.lit(1), F.lit(2))), lambda n: _longest(F.concat(F.array(first), rest(IBAN_GROUPS)), "^ ?[0-9A-Z]+$", 34, lambda t: fits(t, n)))
+        found = F.when(first.rlike("^[0-9]{1,19}$"), _let(card, lambda n: F.substr(F.lit(" " + _CARD_AT), n + 1, F.lit(1))))
+        found = found.when(first.rlike("^[A-Z]{2}[0-9]{2}[0-9A-Z]*$"), _let(iban, lambda n: F.substr(F.lit(" " + _IBAN_AT), n + 1, F.lit(1))))
+        return F.when(found.isNotNull() & (found != " "), F.concat(F.regexp_extract(group, "^[ -]?", 0), found, first)).otherwise(group)
+
+    def pseudonym(m: Column) -> Column:
+        bare = F.translate(m, _CARD_AT + _IBAN_AT, "")
+        return F.when(m.rlike(f"^[{_CARD_AT}]"), _let(bare, lambda x: _marked("card", _card(x, key)))).otherwise(_let(bare, lambda x: _marked("iban", _iban(x, key))))
+
+    groups = F.split(stretch, "(?=[ -])", -1)
+    marked = _let(groups, lambda g: F.array_join(F.transform(g, lambda x, i: mark(x, g, i)), ""))
+    return _let(marked, lambda t: F.translate(_replace(t, _WINDOWS, pseudonym), _CARD_AT + _IBAN_AT, ""))
+
+
+def _replace(text: Column, pattern: str, body: Callable[[Column], Column]) -> Column:
+    """text with body(match) for every match of the pattern."""
+
+    def joined(found: Column) -> Column:
+        new = F.transform(found, body)
+        return F.when(F.size(found) == 0, text).otherwise(_let(new, lambda n: F.array_join(F.transform(F.split(text, pattern, -1), lambda x, i: F.concat(x, F.coalesce(F.get(n, i), F.lit("")))), "")))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), joined)
+
+
+def _escaped(text: Column, back: bool = False) -> Column:
+    """text without characters of our own, or such a text as it was."""
+    pairs = [(ESCAPE, ESCAPE + _SAFE[-1]), *((c, ESCAPE + _SAFE[k]) for k, c in enumerate(OPEN + CLOSE))]
+    for plain, safe in reversed(pairs) if back else pairs:
+        text = F.replace(text, F.lit(safe if back else plain), F.lit(plain if back else safe))
+    return text
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: str | None = "pii_kinds") -> DataFrame:
     """docs with pseudonyms in the text, and in found_col the kinds replaced, in text order; without it if None.
 
-    A null text stays null, with no kinds. The key shows in query plans: take one for pseudonyms only, and rotate it.
-    Rows don't depend on each other, so nothing is shuffled.
+    A null text stays null, with no kinds, and an empty one empty. Equal values get equal pseudonyms in all rows, whatever
+    their id. Dates outside of 1900 to 2099 stay. A column of docs named found_col is replaced, others are kept. The key
+    shows in query plans: take one for pseudonyms only, and rotate it. Rows don't depend on each other, so nothing is shuffled.
     """
     text = F.col(text_col)
+    candidate = f"{PATTERNS['card']}|{PATTERNS['iban']}"
+    odd = text.rlike(f"[{OPEN}{CLOSE}{ESCAPE}]")
+    safe = F.when(odd, _escaped(text)).otherwise(text)
+    shaped = _let(safe, lambda t: _replace(t, _OTHERS, lambda m: _shaped(m, key)))
+    inside = lambda m: F.when(m.rlike(f"^[{OPEN}]") | ~m.rlike(candidate), m).otherwise(_values(m, key))
+    done = _let(shaped, lambda t: _replace(t, _STRETCH, inside))
+    names = F.array(*(F.lit(k) for k in KINDS))
+
+    def result(t: Column) -> Column:
+        kinds = F.transform(F.regexp_extract_all(t, F.lit(f"[{OPEN}]"), F.lit(0)), lambda o: F.get(names, F.instr(F.lit(OPEN), o) - 1))
+        bare = F.regexp_replace(t, f"[{OPEN}{CLOSE}]", "")
+        return F.struct(F.when(odd, _escaped(bare, back=True)).otherwise(bare).alias("text"), kinds.alias("kinds"))
 
-    def joined(pattern: Column, new: Column) -> Column:
-        parts = F.split(text, pattern, -1)
-        return F.struct(
-            _let(parts, lambda p: F.array_join(F.transform(p, lambda x, i: F.concat(x, F.coalesce(F.get(new, i)["text"], F.lit("")))), "")).alias("text"),
-            F.filter(F.transform(new, lambda x: x["kind"]), lambda k: k.isNotNull()).alias("kinds"),
-        )
-
-    def replaced(pattern: Column) -> Column:
-        return _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda all_: _let(F.transform(all_, lambda m: _pseudonym(m, key)), lambda new: joined(pattern, new)))
-
-    found = _let(_values(text), replaced)
     none = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
     own = fresh(docs, "_pii")
-    made = docs.withColumn(own, F.when(text.rlike(FOUND), found).otherwise(none)).withColumn(text_col, F.col(f"{own}.text"))
+    made = docs.withColumn(own, F.when(text.rlike(_ANY) | text.contains("@") & text.rlike(PATTERNS["email"]), _let(done, result)).otherwise(none)).withColumn(text_col, F.col(f"{own}.text"))
     if found_col:
         made = made.withColumn(found_col, F.col(f"{own}.kinds"))
     return made.drop(own)
