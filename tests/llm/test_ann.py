@@ -50,6 +50,18 @@ def test_few_and_none(spark):
     assert nearest_neighbours(spark, one, one).collect() == []
 
 
+def test_small_lists_are_probed_on_until_k_are_found(spark):
+    r = np.random.default_rng(3)
+    spots = r.standard_normal((300, 8)) * 100
+    data = [(100 * i + j, [float(c) for c in spots[i] + 0.01 * r.standard_normal(8)]) for i in range(300) for j in range(3)]
+    data += [(50_000 + i, [float(c) for c in spots[0]]) for i in range(900)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    n = {}
+    for x in nearest_neighbours(spark, df, df.filter("vec_id % 100 = 0"), lists=250).collect():
+        n[x.query_id] = n.get(x.query_id, 0) + 1
+    assert set(n.values()) == {10} and len(n) == sum(i % 100 == 0 for i, _ in data)
+
+
 def test_split_lists_give_the_same(spark, monkeypatch):
     import tidemark.llm.ann as m
 

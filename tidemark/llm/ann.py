@@ -59,7 +59,9 @@ def vectors_of(column: pa.Array, dim: int | None) -> tuple[np.ndarray, np.ndarra
 
 
 def _kmeans(x: np.ndarray, lists: int, rounds: int = 10) -> np.ndarray:
-    centroids = x[np.linspace(0, len(x) - 1, lists).astype(int)]
+    different = np.unique(x, axis=0)  # else copies of one vector would take many lists
+    lists = min(lists, len(different))
+    centroids = different[np.linspace(0, len(different) - 1, lists).astype(int)]
     for _ in range(rounds):
         which = np.argmin((centroids**2).sum(1) - 2 * x @ centroids.T, 1)
         n = np.bincount(which, minlength=lists)
@@ -87,6 +89,7 @@ def fit(vectors: DataFrame, k: int, lists: int | None = None, seed: int = 17) ->
     rotation, r = np.linalg.qr(random.standard_normal((dim, dim)))
     rotation *= np.sign(np.diag(r))
     index = Index(dim, rotation, _kmeans(x @ rotation, lists), lists)
+    lists = len(index.centroids)
     # Probes: until the held-out queries find AIM of their neighbours in the sample.
     own, queries = index.nearest(x, 1)[:, 0], x[:: max(1, len(x) // 200)]
     d = (queries**2).sum(1)[:, None] + (x**2).sum(1) - 2 * queries @ x.T
@@ -119,19 +122,39 @@ def scan(columns: list[np.ndarray], original: np.ndarray, ids: np.ndarray, query
     return ids[at][order], np.sqrt(d[order])
 
 
-def _assign(index: Index, probes: int):
+def _file(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, x = vectors_of(batch.column("vec"), index.dim)
             for a in range(0, len(at), 4096):
-                part = index.nearest(x[a : a + 4096], probes)
-                ids = batch.column("id").take(pa.array(np.repeat(at[a : a + 4096], part.shape[1])))
-                vec = batch.column("vec").take(pa.array(np.repeat(at[a : a + 4096], part.shape[1])))
-                yield pa.RecordBatch.from_arrays([pa.array(part.ravel().astype(np.int32)), ids, vec.cast(pa.list_(pa.float64()))], names=["list", "id", "vec"])
+                own = index.nearest(x[a : a + 4096], 1)
+                yield _rows(batch, at[a : a + 4096], own, np.ones(own.shape, bool))
 
     return run
 
 
+def _ask(index: Index, sizes: np.ndarray, k: int):
+    """Lists for each query: as many of those that hold rows as the fit asks for, and on until they hold more than k."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, x = vectors_of(batch.column("vec"), index.dim)
+            for a in range(0, len(at), 512):
+                lists = index.nearest(x[a : a + 512], len(sizes)) if len(sizes) > 1 else np.zeros((len(at[a : a + 512]), 1), np.int64)
+                rows = sizes[lists]
+                enough = (np.cumsum(rows > 0, 1) >= index.probes) & (np.cumsum(rows, 1) > k)
+                last = np.where(enough.any(1), enough.argmax(1), lists.shape[1] - 1)
+                yield _rows(batch, at[a : a + 512], lists, (rows > 0) & (np.arange(lists.shape[1]) <= last[:, None]))
+
+    return run
+
+
+def _rows(batch: pa.RecordBatch, at: np.ndarray, lists: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
+    row = pa.array(np.repeat(at, wanted.sum(1)))
+    vec = batch.column("vec").take(row).cast(pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array(lists[wanted].astype(np.int32)), batch.column("id").take(row), vec], names=["list", "id", "vec"])
+
+
 def _search(index: Index, k: int):
     def run(_, queries: pa.Table, candidates: pa.Table) -> pa.Table:
         ids = candidates.column("id").to_numpy()
@@ -155,7 +178,8 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
 
     vectors and queries have id_col and vec_col. Rows without id, and vectors that are null, zero, of another length
     than most, or hold null or non-finite components take no part. A row is no candidate for a query of its own id.
-    Equal distances rank by id. Rows of one id are candidates one by one.
+    Equal distances rank by id. Rows of one id are candidates one by one. If ids don't repeat, a query gets fewer than k rows
+    only if there are fewer candidates.
     """
     pick = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).filter("id IS NOT NULL")
     vectors, queries, scratch = pick(vectors), pick(queries), Scratch(spark, "ann")
@@ -163,9 +187,10 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     schema = "list int, id long, vec array<double>"
-    filed = scratch.keep(vectors.mapInArrow(_assign(index, 1), schema))
-    asked = scratch.keep(queries.mapInArrow(_assign(index, index.probes), schema))
+    filed = scratch.keep(vectors.mapInArrow(_file(index), schema))
     sizes = {r["list"]: r["count"] for r in filed.groupBy("list").count().collect()}
+    held = np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
+    asked = scratch.keep(queries.mapInArrow(_ask(index, held, k), schema))
     loads = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
     splits = [(i, -(-n // BLOCK), -(-loads[i] // QUERIES)) for i, n in sizes.items() if i in loads]
     split = F.broadcast(spark.createDataFrame(pd.DataFrame(splits, columns=["list", "parts", "loads"]), "list int, parts int, loads int"))  # a row per list, of which there are MAX_LISTS at most
