@@ -28,6 +28,20 @@ def test_shards(spark):
     assert one == {(r.doc_id, r.text): (r.shard, r.slot) for r in shard_by_bytes(spark, docs.repartition(2)).collect()}
 
 
+def test_groups_lie_together_in_ranges_of_bounded_bytes(spark):
+    r = random.Random(4)
+    data = [(i, f"text {i % 150} " * r.randint(1, 1) * 20) for i in range(900)] + [(2000 + i, "a third of all rows " * 12) for i in range(450)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for range_bytes in (2_000, 1 << 27):
+        rows = shard_by_bytes(spark, docs, 8, range_bytes=range_bytes).collect()
+        check(rows, data, 8)
+        shards = {}
+        for x in rows:
+            shards.setdefault(x.text, set()).add(x.shard)
+        assert all(max(s) - min(s) + 1 == len(s) for s in shards.values())
+        assert sum(len(s) > 1 for s in shards.values()) <= 7
+
+
 def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "x")] * 20 + [(2, "y")], "doc_id long, text string")
     rows = shard_by_bytes(spark, docs).collect()

@@ -1,9 +1,10 @@
 """Shards of near equal bytes by histogram sort.
 
-Documents are ordered by a hash of id and text. Splitters are found without sorting: exact bytes below candidate keys
-are counted over all partitions, each splitter's bracket shrinks to the two candidates around its target, and new ones
-are tried inside, until every splitter is within tolerance or between two neighbouring keys. Then one exchange moves
-each document to its range, where it gets its slot. Shards are cut into several ranges each, so that no task holds one.
+Documents are ordered by a hash of their text, then of their id, so equal texts are neighbours: a group of them lies in one
+shard, or, where it has to be cut for equal bytes, in consecutive ones. Splitters are found without sorting: exact bytes
+below candidate keys are counted over all partitions, each splitter's bracket shrinks to the two candidates around its target,
+and new ones are tried inside, until every splitter is within tolerance or between two neighbouring keys. Then one exchange
+moves each document to its range, where it gets its slot. Shards are cut into ranges of bounded bytes, so that no task holds one.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ from .store import Scratch, fresh
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 #: Candidate keys tried inside each bracket in a round.
 PROBES = 15
-KEY = "xxhash64(doc_id, text)"
+#: Bytes of a range, and ranges at most, whose splitters are broadcast: 40 bytes for each.
+RANGE_BYTES, MAX_RANGES = 1 << 27, 1 << 16
+#: The last 24 bits tell the rows of one text apart.
+KEY = "(xxhash64(text) & -16777216L) | (xxhash64(doc_id, text) & 16777215L)"
 SIZE = "cast(coalesce(octet_length(text), 0) + 1 as long)"
 
 
@@ -73,25 +77,41 @@ def find_splitters(keyed: DataFrame, ranges: int, tolerance: float) -> list[int]
     return sorted(lo[k][0] if goals[k] - lo[k][1] <= hi[k][1] - goals[k] else hi[k][0] for k in range(len(goals)))
 
 
-def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, tolerance: float = 1e-4) -> DataFrame:
+def _ranged(spark: SparkSession, docs: DataFrame, splitters: list[int], key: str, range_: str) -> DataFrame:
+    """docs with the number of splitters up to the key. Keys meet, by their first bits, the few splitters that share these."""
+    bits = max(1, len(splitters).bit_length())
+    prefix = [(s - LOW) >> (64 - bits) for s in splitters]
+    starts = np.searchsorted(np.array(prefix, np.int64), np.arange((1 << bits) + 1), side="left")
+    rows = [(p - (1 << (bits - 1)), int(starts[p]), splitters[starts[p] : starts[p + 1]]) for p in range(1 << bits)]
+    names = [fresh(docs, n) for n in ("_prefix", "_before", "_splitters")]
+    table = spark.createDataFrame(rows, f"`{names[0]}` long, `{names[1]}` int, `{names[2]}` array<long>")
+    most = max(len(r[2]) for r in rows)
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(max(1, most.bit_length())))))
+    own = F.col(names[2])
+    inside = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(own, at + step - 1) <= F.col(key), at + step).otherwise(at))
+    joined = docs.join(F.broadcast(table), F.shiftright(key, 64 - bits) == F.col(names[0]))
+    return joined.withColumn(range_, F.col(names[1]) + inside).drop(*names)
+
+
+def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, tolerance: float = 1e-4, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """docs with shard (int) and slot (long, from 0 without gaps), replacing columns of these names.
 
     Sizes are UTF-8 bytes of the text plus one, 1 for a null text. Shards differ from equal sizes by tolerance, a fraction
     of a shard, or by one document where that is more. Rows of equal id and text, nulls included, share a key and so a
-    shard. docs needs doc_id and text; the same rows always give the same shards, whatever their order or partitions.
+    shard; rows of equal text lie in one shard or, if a group of them doesn't fit, in consecutive ones. docs needs doc_id
+    and text; the same rows always give the same shards, whatever their order or partitions.
     """
     scratch = Scratch(spark, "sharding")
     keyed = scratch.keep(docs.select(F.expr(KEY).alias("key"), F.expr(SIZE).alias("size")))
-    per = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     total = keyed.agg(F.sum("size")).first()[0] or 0
+    per = max(1, min(MAX_RANGES // shards, -(-total // (shards * range_bytes))))
     splitters = find_splitters(keyed, shards * per, tolerance * total / shards)
     rows = below(keyed, np.array([*splitters, HIGH], np.int64))[1] if splitters else np.zeros(1, np.int64)
     first = [0, *rows[:-1].tolist()]  # rows before each range
-    offsets = [first[r] - first[r - r % per] for r in range(len(first))]
-    key, range_ = fresh(docs, "_key"), fresh(docs, "_range")
-    steps = [1 << b for b in reversed(range(max(1, len(splitters)).bit_length()))]
-    own = F.array(*(F.lit(s).cast("long") for s in splitters)) if splitters else F.array().cast("array<long>")
-    found = F.aggregate(F.array(*(F.lit(s) for s in steps)), F.lit(0), lambda at, step: F.when(F.get(own, at + step - 1) <= F.col(key), at + step).otherwise(at))
-    ranged = docs.withColumn(key, F.expr(KEY)).withColumn(range_, found)
-    slot = F.row_number().over(Window.partitionBy(range_).orderBy(key, "doc_id")) - 1 + F.element_at(F.array(*(F.lit(o).cast("long") for o in offsets)), F.col(range_) + 1)
-    return ranged.withColumn("slot", slot.cast("long")).withColumn("shard", F.floor(F.col(range_) / per).cast("int")).drop(range_, key)
+    key, range_, offset = fresh(docs, "_key"), fresh(docs, "_range"), fresh(docs, "_offset")
+    offsets = spark.createDataFrame([(r, first[r] - first[r - r % per]) for r in range(len(first))], f"`{range_}` int, `{offset}` long")
+    ranged = docs.withColumn(key, F.expr(KEY))
+    ranged = _ranged(spark, ranged, splitters, key, range_) if splitters else ranged.withColumn(range_, F.lit(0))
+    placed = ranged.repartition(len(first), range_).withColumn("slot", F.row_number().over(Window.partitionBy(range_).orderBy(key, "doc_id")))
+    placed = placed.join(F.broadcast(offsets), range_)  # a row per range, MAX_RANGES at most
+    return placed.withColumn("slot", (F.col("slot") - 1 + F.col(offset)).cast("long")).withColumn("shard", F.floor(F.col(range_) / per).cast("int")).drop(range_, key, offset)
