@@ -26,7 +26,7 @@ def brute(captures, entries):
             labels = host.split(".")
             keys = {"d:" + ".".join(labels[k:]) for k in range(max(1, len(labels) - 1))}
             parts = [p for p in path.split("/") if p]
-            keys |= {"p:" + host + "/" + "/".join(parts[:k]) for k in range(1, min(3, len(parts)) + 1)}
+            keys |= {"p:" + host + "/" + "/".join(parts[:k]) for k in range(1, len(parts) + 1)}
             for (name, key), c in changes.items():
                 past = [(on, a) for on, a in c if on <= when]
                 if host and key in keys and past:
