@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import tempfile
 import uuid
@@ -12,16 +13,36 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset, as in tests on one machine, a folder of our own."""
+    """spark.checkpoint.dir; only where that is unset and all runs on one machine, as in tests, a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
     return _own[app]
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+_left: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _clean() -> None:
+    """Tables that a result may still be read from go when the driver ends, if Spark is still there."""
+    for path, spark in _left.items():
+        try:
+            delete(spark, path)
+        except Exception:  # noqa: BLE001 - the session may have been stopped
+            return
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, after as many underscores as it takes to be no column of df, in any case."""
     taken = {c.lower() for c in df.columns}
@@ -38,20 +59,23 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark, self.at, self.n = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}", 0
+        self.kept: list[tuple[DataFrame, str]] = []
+        _left[self.at] = spark
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.at}/{self.n}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.kept.append((table, path))
+        return table
 
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
-            for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
-                hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            for path in [p for t, p in self.kept if t is table]:
+                delete(self.spark, path)
 
     def release(self) -> None:
-        """Lets Spark remove shuffle files of jobs that are over."""
+        """Lets Spark's cleaner, which follows garbage collection on the driver, remove shuffle files of jobs that are over now, not in half an hour."""
         gc.collect()
         self.spark._jvm.System.gc()
