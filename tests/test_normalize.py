@@ -23,6 +23,40 @@ def test_numbers(spark):
         n.NumberProfile(",", ",")
 
 
+def test_numbers_are_exact(spark):
+    from decimal import Decimal, localcontext
+
+    import random
+
+    r = random.Random(1)
+    texts = ["0.123456789", "1e-7", "1E+20", "-0", "-0.00", "+5", ".5", "5.", ".", "e5", "9" * 50 + ".25", "1e999", "1e-999", "1e1000", "00012.3400", "-1.5E-3", "12E0003"]
+    texts += [f"{r.choice(['', '-', '+'])}{r.randint(0, 10**r.randint(0, 45))}{r.choice(['', '.'])}{r.randint(0, 10**r.randint(0, 30))}{r.choice(['', '', f'E{r.randint(-60, 60)}'])}" for _ in range(300)]
+
+    def want(text, shift):
+        with localcontext() as ctx:
+            ctx.prec = 5000
+            try:
+                v = Decimal(text).scaleb(shift)
+            except ArithmeticError:
+                return None, "invalid-numeric-value"
+            if abs(int(text.lower().partition("e")[2] or 0)) > 999:
+                return None, "invalid-numeric-value"
+            shown = format(v, "f")
+            shown = shown.rstrip("0").rstrip(".") if "." in shown else shown
+            return "0" if shown in ("-0", "0") else shown, None
+
+    assert outcomes(spark, texts, n.decimal) == [want(t, 0) for t in texts]
+    percent = n.NumberProfile(percent_as_fraction=True)
+    assert outcomes(spark, [f"{t} %" for t in texts], lambda c: n.decimal(c, percent)) == [want(t, -2) for t in texts]
+
+
+def test_casts_have_errors(spark):
+    cast = lambda kind, *values: outcomes(spark, values, lambda c: n.typed(c, kind))
+    assert cast("integer", "5", "5.0", "x", None)[::2] == [(5, None), (None, "not-castable-to-integer")] and cast("integer", None) == [(None, None)]
+    assert cast("decimal", "1." + "1" * 18, "1." + "1" * 19)[1] == (None, "not-castable-to-decimal")
+    assert cast("date", "2024-02-30") == [(None, "not-castable-to-date")] and cast("boolean", "True")[0][0] is True
+
+
 def test_dates(spark):
     assert outcomes(spark, ["2024-1-3", "2024-02-30", None, "x", "2024-12-31 "], n.date) == [("2024-01-03", None), (None, "invalid-calendar-date"), (None, None), (None, "invalid-calendar-date"), (None, "invalid-calendar-date")]
     assert outcomes(spark, ["01-02-30", "01-02-31", "29-02-00"], lambda c: n.date(c, "%d-%m-%y", 30)) == [("2030-02-01", None), ("1931-02-01", None), ("2000-02-29", None)]

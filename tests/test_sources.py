@@ -30,11 +30,28 @@ def test_dialect_header_footer():
     assert detect.detect_header([["a", "b"]]).index == 0
 
 
-def test_types():
-    guess = lambda *v, f=(): (lambda g: (g.type, g.red_flags))(detect.infer_type(v, f))
+def test_types(spark):
+    def guess(*values, f=()):
+        row = detect.infer_types(spark.createDataFrame([(v,) for v in values], "v string"), ["v"], f).first()
+        return row.suggested_type, () if row.red_flag is None else (row.red_flag,)
+
     assert guess() == ("string", ("empty-sample",)) and guess("0", "1") == ("integer", ()) and guess("yes", "0") == ("boolean", ())
     assert guess("007", "12") == ("string", ("leading-zero",)) and guess("1E5") == ("string", ("scientific-notation",)) and guess("1.5", "2") == ("decimal", ())
-    assert guess("1", "x") == ("string", ("mixed-parseable",)) and guess("2024-01-02", f=("%Y-%m-%d",)) == ("date", ()) and guess("a") == ("string", ())
+    assert guess("1", "x") == ("string", ("mixed-parseable",)) and guess("2024-01-02", f="yyyy-MM-dd") == ("date", ()) and guess("a") == ("string", ())
+    assert guess("02.01.2024 10:00", f=("yyyy-MM-dd", "dd.MM.yyyy HH:mm")) == ("timestamp", ())
+
+
+def test_code_pages_that_read_alike_or_not():
+    name = lambda text, page: detect.detect_encoding(text.encode(page)).name
+    assert name("España año", "cp1252") == "undetermined" and name("très élevé", "cp1252") == "undetermined"
+    assert name("Müller größer", "cp1252") in ("cp1250", "cp1252") and detect.detect_encoding("Müller".encode("cp1252")).confidence == 1.0
+    assert name("příliš žluťoučký kůň", "cp1250") == "cp1250"
+
+
+def test_quotes_are_told():
+    assert detect.detect_dialect("a,b\n1,'x,y'\n2,'z'\n") == detect.Dialect(",", "'")
+    assert detect.detect_dialect('a,b\n1,"x,y"\n2,it\'s\n') == detect.Dialect(",", '"')
+    assert detect.detect_dialect("a^b\n1^2\n").delimiter == "^" and detect.detect_dialect("it's\n'tis\n").delimiter == ""
 
 
 def test_masks(spark):
@@ -42,7 +59,10 @@ def test_masks(spark):
     df = spark.createDataFrame([("orders_20240102.csv",), ("orders_20240102_007.csv",), ("orders_20241302.csv",), ("xorders_20240102.csv.gz",)], "name string")
     rows = df.select(*mask.columns(F.col("name")), mask.error(F.col("name")).alias("e")).collect()
     assert [(r.dataset, str(r.day), r.seq, r.e) for r in rows] == [("orders", "2024-01-02", None, None), ("orders", "2024-01-02", 7, None), ("orders", "None", None, None), (None, "None", None, "filename-does-not-match-mask")]
-    for bad in ("[a[b]]", "a]", "[a", "{x:%q}", "{a}{a}"):
+    plain = detect.compile_mask("v1.0 ({n:2d}) {t:%H-%M}.csv")
+    row = spark.createDataFrame([("v1.0 (07) 10-59.csv",)], "name string").select(plain.error(F.col("name")).alias("e"), *plain.columns(F.col("name"))).first()
+    assert row.e is None and row.n == 7
+    for bad in ("[a[b]]", "a]", "[a", "{x:%q}", "{a}{a}", "{a", "a}", "{}", "{x:abc}", "{x:%B}"):
         with pytest.raises(ValueError):
             detect.compile_mask(bad)
 

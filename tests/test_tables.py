@@ -21,6 +21,48 @@ def test_versions(spark, tmp_path):
     assert table.read().count() == 2
 
 
+def test_publications_never_show_less_and_never_overwrite(spark, tmp_path):
+    from tidemark.plans.tables import ConflictError, VersionedTables
+
+    at = f"file://{tmp_path}/t"
+    make = lambda: VersionedTables(spark, at, {"a": "k int", "b": "k int"})
+    one, two = make(), make()
+    row = lambda k: spark.createDataFrame([(k,)], "k int")
+    one.publish(lambda t: {"a": row(1), "b": row(1)})
+
+    def slow(t):
+        one.publish(lambda now: {"a": now["a"].unionByName(row(2))})
+        return {"a": t["a"].unionByName(row(3))}
+
+    with pytest.raises(ConflictError):
+        two.publish(slow)
+    assert sorted(r.k for r in two.read("a").collect()) == [1, 2] and two.read("b").count() == 1
+    commits = tmp_path / "t" / "_commits"
+    assert sorted(p.name for p in commits.iterdir() if not p.name.startswith(".")) == [f"{k:012d}" for k in (1, 2)]
+    (commits / f"{3:012d}").write_text("")  # another one is being written: its number is taken
+    with pytest.raises(ConflictError):
+        two.publish(lambda t: {"b": row(9)})
+    assert sorted(r.k for r in one.read("a").collect()) == [1, 2]
+    import os
+
+    os.utime(commits / f"{3:012d}", (1, 1))  # it died long ago
+    assert two.publish(lambda t: {"b": row(9)}) == 4 and one.read("b").first().k == 9 and one.publish(lambda t: {}) == 4
+
+
+def test_bronze_of_an_empty_rerun_has_no_rows(spark, tmp_path):
+    bronze = BronzeTable(spark, f"{tmp_path}/b", "k int")
+    assert bronze.read().count() == 0 and bronze.read().columns == ["k", "_run_id"]
+    rows = spark.range(3).select(F.col("id").cast("int").alias("k"))
+    bronze.append(rows, 1)
+    bronze.append(rows, 2)
+    bronze.append(rows.filter("k < 0"), 1)
+    assert [r["_run_id"] for r in bronze.read().collect()] == [2, 2, 2]
+    bronze.append(bronze.read().filter("_run_id = 2 AND k > 0"), 2)  # reads what it replaces
+    assert bronze.read().count() == 2
+    staged = bronze.stage(rows, 3)
+    assert staged.dtypes == [("k", "string")] and staged.count() == 3 and bronze.read().count() == 2
+
+
 def test_bronze_runs_replace_themselves(spark, tmp_path):
     bronze = BronzeTable(spark, f"{tmp_path}/b", "k int")
     for n in (2, 2, 3):

@@ -14,8 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SCIENTIFIC = r"\A-?[0-9](\.[0-9]+)?[eE][+-]?[0-9]+\z"
-#: What an exact decimal may look like after its locale is gone: no underscores, no infinities.
-PLAIN_NUMBER = r"\A[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,2})?\z"
+#: What an exact decimal may look like after its locale is gone: no underscores, no infinities. Its parts are the sign, the
+#: digits before and after the point, and the exponent; one of more than three digits would make texts of thousands of zeros.
+PLAIN_NUMBER = r"\A([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?0*[0-9]{1,3}))?\z"
 TIME_DIRECTIVES = ("%H", "%I", "%M", "%S", "%f", "%z", "%Z", "%p", "%X")
 #: strptime directives by the datetime pattern letters that read the same texts; one digit suffices for day and month.
 DIRECTIVES = {"%Y": "yyyy", "%m": "M", "%d": "d", "%H": "H", "%M": "m", "%S": "s", "%y": "yy", "%b": "MMM", "%B": "MMMM", "%f": "SSSSSS", "%j": "D", "%p": "a", "%I": "h"}
@@ -81,20 +82,41 @@ def clean_number(col: Column, profile: NumberProfile) -> tuple[Column, Column]:
     return F.replace(text, F.lit(profile.decimal_separator), F.lit(".")), percent
 
 
-def decimal(col: Column, profile: NumberProfile = NumberProfile(), scale: int = 6) -> Column:
-    """Exact decimals, as text without trailing zeros; sentinels first, then the guards, then the parse."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def exact(text: Column, shift: Column | int = 0) -> Column:
+    """A number times ten to the power of shift, digit by digit and so of any length, without needless zeros; null for what is no number."""
+
+    def shown(p: Column) -> Column:
+        digits, point = F.concat(p["whole"], p["rest"]), p["point"]
+        whole = F.when(point <= 0, "").otherwise(F.rpad(F.substr(digits, F.lit(1), point), point, "0"))
+        rest = F.when(point < 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(F.substr(digits, point + 1))
+        whole, rest = F.regexp_replace(whole, "^0+", ""), F.regexp_replace(rest, "0+$", "")
+        number = _let(F.struct(whole.alias("whole"), rest.alias("rest")), lambda x: F.concat(F.when(x["whole"] == "", "0").otherwise(x["whole"]), F.when(x["rest"] == "", "").otherwise(F.concat(F.lit("."), x["rest"]))))
+        return _let(number, lambda x: F.when((p["sign"] == "-") & (x != "0"), F.concat(F.lit("-"), x)).otherwise(x))
+
+    def parts(t: Column) -> Column:
+        part = lambda k: F.regexp_extract(t, PLAIN_NUMBER, k)
+        point = F.length(part(2)) + F.coalesce(part(4).try_cast("int"), F.lit(0)) + shift
+        return F.when(t.rlike(PLAIN_NUMBER), _let(F.struct(part(1).alias("sign"), part(2).alias("whole"), part(3).alias("rest"), point.alias("point")), shown))
+
+    return _let(text, parts)
+
+
+def decimal(col: Column, profile: NumberProfile = NumberProfile()) -> Column:
+    """Exact decimals, as text without needless zeros; sentinels first, then the guards, then the parse."""
     text, percent = clean_number(col, profile)
-    number = F.when(text.rlike(PLAIN_NUMBER), text.try_cast(f"decimal(38,{scale})"))
-    if profile.percent_as_fraction:
-        number = F.when(percent, (number / F.lit(100)).cast(f"decimal(38,{scale})")).otherwise(number)
-    shown = F.regexp_replace(F.regexp_replace(number.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
     absent = col.isNull() | (col.isin(*profile.null_sentinels) if profile.null_sentinels else F.lit(False))
     error = F.when(absent, F.lit(None).cast("string"))
     if profile.reject_scientific:
         error = error.when(col.rlike(SCIENTIFIC), "scientific-notation-identifier-unrecoverable")
     if profile.fixed_width is not None:
         error = error.when(F.length(col) < profile.fixed_width, "fixed-width-identifier-below-declared-width")
-    return outcome(F.when(absent, F.lit(None)).otherwise(shown), error.when(number.isNull(), "invalid-numeric-value"))
+    shown = exact(text, F.when(percent, -2).otherwise(0) if profile.percent_as_fraction else 0)
+    return _let(F.when(absent, F.lit(None)).otherwise(shown), lambda x: outcome(x, error.when(x.isNull(), "invalid-numeric-value")))
 
 
 def pattern_of(strptime: str) -> str:
@@ -184,12 +206,13 @@ def serial_date(col: Column, system: str = "1900") -> Column:
 
 
 def nfc(col: Column) -> Column:
-    """Canonical composition. Spark has no such function: pure ASCII, by far the most, stays in the JVM, the rest goes by Arrow."""
+    """Canonical composition, for which Spark has no function. Of texts in ASCII, by far the most, only nulls go to Python."""
+
     @F.pandas_udf("string")
     def compose(texts: pd.Series) -> pd.Series:
         return texts.str.normalize("NFC")
 
-    return F.when(col.rlike(r"[^\x00-\x7F]"), compose(col)).otherwise(col)
+    return F.coalesce(compose(F.when(col.rlike(r"[^\x00-\x7F]"), col)), col)
 
 
 def strip_nul(col: Column) -> Column:
@@ -218,3 +241,16 @@ def ragged(fields: Column, width: int) -> Column:
 
 #: Normalisers by the name that a column's specification gives.
 REGISTRY: dict[str, Callable[..., Column]] = {"boolean": boolean, "decimal": decimal, "date": date, "local_timestamp": local_timestamp, "serial_date": serial_date}
+
+
+#: Types of a contract, and what a table that is published holds.
+GOLD_TYPES = {"string": "string", "integer": "bigint", "decimal": "decimal(38,18)", "date": "date", "timestamp": "timestamp", "boolean": "boolean"}
+
+
+def typed(col: Column, kind: str) -> Column:
+    """A normalised text as its contract's type: struct<value, error>; a text that doesn't fit is an error, not a null."""
+    value = col.try_cast(GOLD_TYPES[kind])
+    if kind == "decimal":  # more places than the type has would be rounded
+        value = _let(value, lambda v: F.when(exact(col) == exact(v.cast("string")), v))
+    error = F.when(col.isNotNull() & value.isNull(), F.lit(f"not-castable-to-{kind}"))
+    return F.struct(value.alias("value"), error.alias("error"))

@@ -47,6 +47,29 @@ def audit(decided: DataFrame) -> DataFrame:
     return decided.agg(F.min("_run_id").alias("min_run_id"), F.max("_run_id").alias("max_run_id"), F.count("*").alias("records_received"), F.count_if(kept).alias("records_accepted"), F.lit(0).cast("long").alias("records_rejected"), F.count_if(~kept).alias("records_deduplicated"))
 
 
+def dedup_counts(bronze: DataFrame, keys: Sequence[str], order: Sequence[Column], floor: int, run_col: str = "_run_id") -> DataFrame:
+    """One row for the build above floor, from one exchange: input_count, output_count, dedup_count (rows that lost in the build they
+    came in) and displaced_count (winners up to floor that lost to a later one).
+    """
+    old = F.col(run_col) <= floor
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    old_rank = F.row_number().over(Window.partitionBy(*keys).orderBy(old.desc(), *order))
+    winner_run = F.first(run_col).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranked = bronze.select(old.alias("_old"), rank.alias("_rank"), old_rank.alias("_old_rank"), (winner_run > floor).alias("_late"))
+    lost = (F.col("_old") & (F.col("_old_rank") > 1)) | (~F.col("_old") & (F.col("_rank") > 1))
+    return ranked.agg(F.count("*").alias("input_count"), F.count_if(F.col("_rank") == 1).alias("output_count"), F.count_if(lost).alias("dedup_count"), F.count_if(F.col("_old") & (F.col("_old_rank") == 1) & F.col("_late")).alias("displaced_count"))
+
+
+def high_water(resident: DataFrame, run_col: str = "_run_id") -> DataFrame:
+    """One row, floor: the highest run that a table has, 0 if it is empty."""
+    return resident.agg(F.coalesce(F.max(run_col), F.lit(0)).cast("long").alias("floor"))
+
+
+def above(bronze: DataFrame, floor: DataFrame, run_col: str = "_run_id") -> DataFrame:
+    """Rows of runs above the floor, one row, which is a subquery and not known to the caller."""
+    return bronze.join(F.broadcast(floor), F.col(run_col) > F.col("floor")).drop("floor")  # one row
+
+
 def upsert(resident: DataFrame, incoming: DataFrame, key: str, order_col: str, null_loses: bool = False, ties: Sequence[str] = ()) -> DataFrame:
     """resident after a hash-guarded upsert, with `_action`: inserted, updated or kept.
 

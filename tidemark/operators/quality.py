@@ -146,3 +146,15 @@ def overlaps(versions: DataFrame, key: str, start: str = "valid_from", end: str
     """Versions whose half-open interval reaches into a later one of the same key; empty intervals overlap nothing."""
     order = Window.partitionBy(key).orderBy(start, end)
     return versions.filter(F.col(start) < F.col(end)).withColumn("next_start", F.lead(start).over(order)).filter(F.col("next_start") < F.col(end))
+
+
+def constraint_violations(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str] = (), current: str | None = None) -> DataFrame:
+    """constraint and violations, a row for each that a table breaks: nulls in a column, keys of several rows, or of several current ones."""
+    checks = [(f"not_null:{c}", df.filter(F.col(c).isNull())) for c in not_null]
+    if unique:
+        rows = df.filter(F.col(current)) if current else df
+        checks.append((f"unique{'_current' if current else ''}:{','.join(unique)}", rows.groupBy(*unique).agg(F.count("*").alias("n")).filter("n > 1")))
+    out = df.sparkSession.createDataFrame([], "constraint string, violations long")
+    for name, found in checks:
+        out = out.unionByName(found.agg(F.count("*").alias("violations")).select(F.lit(name).alias("constraint"), "violations"))
+    return out.filter("violations > 0")

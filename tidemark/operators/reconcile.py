@@ -41,17 +41,14 @@ def reconcile(left: DataFrame, right: DataFrame, hop: str) -> DataFrame:
     return both.select(F.lit(hop).alias("hop"), "*", (F.col("rows_input") - F.col("rows_output")).alias("discrepancy"), (F.coalesce("total_input", F.lit(0)) - F.coalesce("total_output", F.lit(0))).alias("total_discrepancy"))
 
 
-def reconcile_dedup(files: DataFrame, input_count: DataFrame, output_count: DataFrame, dedup_count: DataFrame, displaced_count: DataFrame) -> DataFrame:
-    """A row for each file (file_id) with the build's counts, each given as one row `n`.
+def reconcile_dedup(files: DataFrame, counts: DataFrame) -> DataFrame:
+    """A row for each file (file_id) with the build's counts, one row as dedup_counts() of history gives it.
 
     discrepancy counts as dropped only new rows that lost; corrected also those that were resident and got displaced.
     """
-    counts = input_count.withColumnRenamed("n", "input_count")
-    for df, name in ((output_count, "output_count"), (dedup_count, "dedup_count"), (displaced_count, "displaced_count")):
-        counts = counts.crossJoin(F.broadcast(df.withColumnRenamed("n", name)))
     out = F.col("output_count") + F.col("dedup_count")
     counts = counts.withColumn("discrepancy", F.col("input_count") - out).withColumn("corrected", F.col("input_count") - out - F.col("displaced_count"))
-    return files.select("file_id").distinct().crossJoin(F.broadcast(counts))
+    return files.select("file_id").distinct().crossJoin(F.broadcast(counts))  # one row
 
 
 def control_total(outputs: DataFrame, manifests: DataFrame, on: str) -> DataFrame:
@@ -80,6 +77,25 @@ def freshness(datasets: DataFrame, files: DataFrame, runs: DataFrame, now: Colum
     return joined.select("dataset_id", "dataset_name", "last_received_at", "last_success_at", delay.alias("processing_delay"), status.alias("freshness_status"))
 
 
+def freshness_breaches(datasets: DataFrame, files: DataFrame, now: Column, tier: str) -> DataFrame:
+    """Datasets whose last file is later than their frequency and the tier's limit allow: dataset_id, dataset_name and delay.
+
+    warn without a limit is over with the frequency; fail without one never is.
+    """
+    if tier not in ("warn", "fail"):
+        raise ValueError(f"unknown tier {tier!r}")
+    last = files.groupBy("dataset_id").agg(F.max("discovered_at").alias("last_file"))
+    delay = now.cast("long") - F.coalesce("last_file", "created_at").cast("long")
+    limit = F.coalesce("freshness_warn_after", F.lit(0)) if tier == "warn" else F.col("freshness_fail_after")
+    late = datasets.filter("expected_frequency IS NOT NULL").join(last, "dataset_id", "left").withColumn("delay", delay)
+    return late.filter(F.col("delay") > F.col("expected_frequency") + limit).select("dataset_id", "dataset_name", "delay")
+
+
+def stuck_stages(recovery: DataFrame) -> DataFrame:
+    """Runs of run_recovery() whose next action is to try a stage again."""
+    return recovery.filter("next_action LIKE 'retry stage%'").select("run_id", "next_action")
+
+
 def run_recovery(runs: DataFrame, stages: DataFrame) -> DataFrame:
     """Each run with the status of its stages and what to do next; stages (run_id, stage_name, status) are pivoted once."""
     wide = stages.groupBy("run_id").agg(*(F.max(F.when(F.col("stage_name") == s, F.col("status"))).alias(s) for s in STAGES))
@@ -98,10 +114,14 @@ def pending_builds(runs: DataFrame, stages: DataFrame) -> DataFrame:
 
 
 def lineage(rows: DataFrame, runs: DataFrame, files: DataFrame, batches: DataFrame, audits: DataFrame, model: str) -> DataFrame:
-    """rows with their run, file and batch, and the audit whose range of runs holds theirs. All but rows are small."""
-    found = rows.join(F.broadcast(runs) if runs.isStreaming else runs, rows["_run_id"] == runs["run_id"]).join(files, rows["_file_id"] == files["file_id"]).join(batches, rows["_batch_id"] == batches["batch_id"])
-    own = audits.filter(F.col("model_name") == model).select("dedup_audit_id", "min_run_id", "max_run_id", "records_deduplicated")
-    return found.join(own, found["_run_id"].between(own["min_run_id"], own["max_run_id"]), "left")
+    """rows with their run, file and batch, and the audit whose range of runs holds theirs.
+
+    An audit's range becomes a row per run, as many as there are runs, as builds follow each other; so all joins are on equal keys.
+    """
+    found = rows.join(runs, rows["_run_id"] == runs["run_id"]).join(files, rows["_file_id"] == files["file_id"]).join(batches, rows["_batch_id"] == batches["batch_id"])
+    own = audits.filter((F.col("model_name") == model) & (F.col("min_run_id") <= F.col("max_run_id")))
+    own = own.select(F.explode(F.sequence("min_run_id", "max_run_id")).alias("_audited"), "dedup_audit_id", "min_run_id", "max_run_id", "records_deduplicated")
+    return found.join(own, found["_run_id"] == own["_audited"], "left").drop("_audited")
 
 
 def redrive(rejects: DataFrame, published: DataFrame, key: str) -> DataFrame:
@@ -112,9 +132,20 @@ def redrive(rejects: DataFrame, published: DataFrame, key: str) -> DataFrame:
 
 
 def duplicate_files(files: DataFrame) -> DataFrame:
-    """files (dataset_id, file_id, content_sha256) with duplicate_of_file_id, the first file of equal content, null for that one itself."""
-    first = F.min("file_id").over(Window.partitionBy("dataset_id", "content_sha256"))
-    return files.withColumn("duplicate_of_file_id", F.when(first != F.col("file_id"), first))
+    """files (dataset_id, file_id, content_sha256) with duplicate_of_file_id, the first file of equal content, null for that one itself.
+
+    The first files come from a pre-aggregated minimum, so that one content may be that of most files.
+    """
+    first = files.groupBy(F.col("dataset_id").alias("_dataset"), F.col("content_sha256").alias("_content")).agg(F.min("file_id").alias("_first"))
+    joined = files.join(first, files["dataset_id"].eqNullSafe(F.col("_dataset")) & files["content_sha256"].eqNullSafe(F.col("_content")))
+    return joined.withColumn("duplicate_of_file_id", F.when(F.col("_first") != F.col("file_id"), F.col("_first"))).drop("_dataset", "_content", "_first")
+
+
+def repair_lineage(files: DataFrame) -> DataFrame:
+    """files with missing pointers to the first file of equal content filled in, and `repaired`; those that are set stay."""
+    found = duplicate_files(files.withColumnRenamed("duplicate_of_file_id", "_old"))
+    repaired = F.col("_old").isNull() & F.col("duplicate_of_file_id").isNotNull()
+    return found.withColumn("repaired", repaired).withColumn("duplicate_of_file_id", F.coalesce("_old", "duplicate_of_file_id")).drop("_old")
 
 
 def duplicate_groups(files: DataFrame) -> DataFrame:

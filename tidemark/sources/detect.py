@@ -7,19 +7,26 @@ import io
 import re
 from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from decimal import Decimal, InvalidOperation
+from dataclasses import dataclass
+from datetime import datetime
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.normalize import DIRECTIVES
+
 SAMPLE_BYTES = 64 * 1024
 #: Byte order marks, longer ones first: that of UTF-16 LE starts that of UTF-32 LE.
 MARKS = ((b"\xff\xfe\x00\x00", "utf-32-le"), (b"\x00\x00\xfe\xff", "utf-32-be"), (b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))
-DELIMITERS = (",", ";", "\t", "|")
+#: Candidates in order of preference.
+DELIMITERS = (",", ";", "\t", "|", "^", "~", "\x1f", "\x01")
+QUOTES = ('"', "'")
+CODE_PAGES = ("cp1250", "cp1252", "iso-8859-2")
+#: Scores that differ by less don't decide between code pages.
+NEAR = 0.01
 BOOLEANS = frozenset({"true", "false", "yes", "no", "0", "1"})
 TELLING_BOOLEANS = frozenset({"true", "false", "yes", "no"})
-SCIENTIFIC = re.compile(r"-?\d+(?:\.\d+)?[eE][+-]?\d+")
 
 
 class SourceError(Exception):
@@ -38,7 +45,10 @@ class Encoding:
 
 
 def detect_encoding(sample: bytes) -> Encoding:
-    """A byte order mark is certain; else the first of UTF-8, UTF-16 by its zeros, and single-byte code pages that decodes strictly."""
+    """A byte order mark is certain; else UTF-16 by its zeros, UTF-8 if it decodes strictly, or the likeliest single-byte code page.
+
+    Code pages that are about as likely and read the sample differently leave it undetermined: then a contract must name one.
+    """
     for mark, name in MARKS:
         if sample.startswith(mark):
             return Encoding(name, 1.0, True)
@@ -52,9 +62,10 @@ def detect_encoding(sample: bytes) -> Encoding:
     except UnicodeDecodeError as e:
         if e.start >= len(sample) - 3 and len(sample) >= SAMPLE_BYTES:  # a character cut by the end of the sample
             return Encoding("utf-8", 0.99)
-    best = max(("cp1250", "cp1252", "iso-8859-2"), key=lambda name: _likely(sample, name))
-    score = _likely(sample, best)
-    return Encoding(best, score) if score >= 0.5 else Encoding("undetermined", score)
+    scores = {name: _likely(sample, name) for name in CODE_PAGES}
+    best = max(CODE_PAGES, key=lambda name: scores[name])
+    rivals = [name for name in CODE_PAGES if scores[best] - scores[name] <= NEAR and sample.decode(name, "replace") != sample.decode(best, "replace")]
+    return Encoding("undetermined" if rivals or scores[best] < 0.5 else best, scores[best])
 
 
 def _likely(sample: bytes, name: str) -> float:
@@ -74,18 +85,38 @@ def decode(raw: bytes, encoding: str) -> str:
         raise SourceError("undecodable-bytes", str(e)) from e
 
 
-def detect_delimiter(text: str, declared: str | None = None, quote: str = '"') -> str:
-    """The declared one, else the one whose rows agree best on a width above one; empty if none does."""
-    if declared is not None:
-        return declared
-    best, delimiter = (0.0, 0), ""
-    for d in DELIMITERS:
-        widths = Counter(len(r) for r in csv.reader(io.StringIO(text), delimiter=d, quotechar=quote) if r)
-        if widths:
+@dataclass(frozen=True)
+class Dialect:
+    """delimiter is empty if none can be told."""
+
+    delimiter: str
+    quote: str
+
+
+def detect_dialect(text: str, delimiter: str | None = None, quote: str | None = None) -> Dialect:
+    """What is declared, else the delimiter and quote whose rows agree best on a width above one.
+
+    The second quote needs fields that start and end with it, so that an apostrophe is none.
+    """
+    best, found = (0.0, 0, 0), Dialect(delimiter or "", quote or QUOTES[0])
+    for q in [quote] if quote else QUOTES:
+        for d in [delimiter] if delimiter else DELIMITERS:
+            edge = f"(?:^|$|{re.escape(d)})"
+            if q != QUOTES[0] and quote is None and not re.search(rf"(?m){edge}{q}[^{q}]*{q}{edge}", text):
+                continue
+            widths = Counter(len(r) for r in csv.reader(io.StringIO(text), delimiter=d, quotechar=q) if r)
+            if not widths:
+                continue
             width, n = max(widths.items(), key=lambda x: (x[1], x[0]))
-            if width > 1 and (n / sum(widths.values()), width) > best:
-                best, delimiter = (n / sum(widths.values()), width), d
-    return delimiter
+            rank = (n / sum(widths.values()), QUOTES.index(q) if q in QUOTES else 0, width)
+            if (width > 1 or delimiter) and rank > best:
+                best, found = rank, Dialect(d, q)
+    return found
+
+
+def detect_delimiter(text: str, declared: str | None = None, quote: str | None = None) -> str:
+    """The declared one, else the one whose rows agree best; empty if none does."""
+    return declared if declared is not None else detect_dialect(text, None, quote).delimiter
 
 
 def require_delimiter(delimiter: str) -> str:
@@ -129,62 +160,20 @@ def detect_header(rows: Sequence[Sequence[str]], index: int | None = None, trim:
     same = Counter(n if case_sensitive else n.casefold() for n in names)
     if twice := [n for n, k in same.items() if k > 1]:
         raise SourceError("duplicate-header-names", ", ".join(twice))
-    data = rows[index + 1 :]
-    end = len(data)
-    if skip_footer:
-        end = max(0, end - skip_footer)
-    else:
-        while end and (len(data[end - 1]) != len(raw) or data[end - 1] and any(re.match(p, data[end - 1][0]) for p in footer_patterns)):
-            end -= 1
-    first = index + 1
-    return Header(index, names, tuple(range(first + end, first + len(data))), tuple(first + k for k, r in enumerate(data) if tuple(r) == raw))
-
+    marks = re.compile("|".join(f"(?:{p})" for p in footer_patterns) or r"(?!)")
+    below = list(enumerate(rows))[index + 1 :]
+    odd = lambda place: len(place[1]) != len(raw) or bool(place[1]) and marks.match(place[1][0]) is not None
+    footer = below[-skip_footer:] if skip_footer else list(takewhile(odd, reversed(below)))
+    return Header(index, names, tuple(sorted(k for k, _ in footer)), tuple(k for k, row in below if tuple(row) == raw))
 
-@dataclass
-class TypeGuess:
-    type: str
-    red_flags: tuple[str, ...] = field(default=())
-
-
-def infer_type(values: Sequence[str], date_formats: Sequence[str] = ()) -> TypeGuess:
-    """Boolean, then the given date formats, then integer and decimal; a string wherever a value doesn't fit or looks damaged."""
-    from datetime import datetime
-
-    if not values:
-        return TypeGuess("string", ("empty-sample",))
-    low = [v.strip().lower() for v in values]
-    if set(low) <= BOOLEANS and set(low) & TELLING_BOOLEANS:
-        return TypeGuess("boolean")
-    for f in date_formats:
-        try:
-            for v in values:
-                datetime.strptime(v, f)
-        except ValueError:
-            continue
-        from ..functions.normalize import TIME_DIRECTIVES
 
-        return TypeGuess("timestamp" if any(d in f for d in TIME_DIRECTIVES) else "date")
-    if any(SCIENTIFIC.fullmatch(v) for v in values):
-        return TypeGuess("string", ("scientific-notation",))
-    digits = [v.removeprefix("-") for v in values]
-    if all(d.isdecimal() for d in digits):
-        return TypeGuess("string", ("leading-zero",)) if any(len(d) > 1 and d[0] == "0" for d in digits) else TypeGuess("integer")
-    good = [_decimal(v) for v in values]
-    if all(good):
-        return TypeGuess("decimal")
-    return TypeGuess("string", ("mixed-parseable",) if any(good) else ())
+def infer_types(df: DataFrame, columns: Sequence[str], date_patterns: str | Sequence[str] = ()) -> DataFrame:
+    """column_name, suggested_type and red_flag of text columns, over all their non-null values in one pass.
 
-
-def _decimal(value: str) -> bool:
-    try:
-        Decimal(value)
-    except InvalidOperation:
-        return False
-    return True
-
-
-def infer_types(df: DataFrame, columns: Sequence[str], date_pattern: str | None = None) -> DataFrame:
-    """column_name, suggested_type and red_flag of text columns, over all their non-null values in one pass."""
+    Boolean, then the first date pattern that all values fit, then integer and decimal; a string wherever a value doesn't fit
+    or looks damaged, with a flag for the latter.
+    """
+    patterns = [date_patterns] if isinstance(date_patterns, str) else list(date_patterns)
     tests: dict[str, Column] = {}
     for c in columns:
         v, low = F.col(c), F.lower(F.trim(c))
@@ -192,7 +181,7 @@ def infer_types(df: DataFrame, columns: Sequence[str], date_pattern: str | None
             f"{c}_n": F.count(v),
             f"{c}_closed": F.every(low.isin(*BOOLEANS)),
             f"{c}_telling": F.some(low.isin(*TELLING_BOOLEANS)),
-            f"{c}_date": F.every(F.try_to_timestamp(v, F.lit(date_pattern)).isNotNull()) if date_pattern else F.lit(False),
+            **{f"{c}_date{i}": F.every(F.try_to_timestamp(v, F.lit(p)).isNotNull()) for i, p in enumerate(patterns)},
             f"{c}_scientific": F.some(v.rlike(r"\A-?[0-9]+(\.[0-9]+)?[eE][+-]?[0-9]+\z")),
             f"{c}_digits": F.every(v.rlike(r"\A-?[0-9]+\z")),
             f"{c}_zero": F.some(v.rlike(r"\A-?0[0-9]+\z")),
@@ -200,13 +189,14 @@ def infer_types(df: DataFrame, columns: Sequence[str], date_pattern: str | None
             f"{c}_some_decimal": F.some(v.rlike(r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z")),
         }
     one = df.agg(*(t.alias(k) for k, t in tests.items()))
-    timed = bool(date_pattern and re.search("[HhmsSa]", re.sub(r"'[^']*'", "", date_pattern)))
+    day_or_time = ["timestamp" if re.search("[HhmsSa]", re.sub(r"'[^']*'", "", p)) else "date" for p in patterns]
 
     def row(c: str) -> Column:
         is_ = lambda k: F.coalesce(F.col(f"{c}_{k}"), F.lit(False))
         boolean = is_("closed") & is_("telling")
-        kind = F.when(F.col(f"{c}_n") == 0, "string").when(boolean, "boolean").when(is_("date"), "timestamp" if timed else "date").when(is_("scientific"), "string").when(is_("digits"), F.when(is_("zero"), "string").otherwise("integer")).when(is_("decimal"), "decimal").otherwise("string")
-        flag = F.when(F.col(f"{c}_n") == 0, "empty-sample").when(boolean | is_("date"), F.lit(None)).when(is_("scientific"), "scientific-notation").when(is_("digits"), F.when(is_("zero"), "leading-zero")).when(~is_("decimal") & is_("some_decimal"), "mixed-parseable")
+        dated = F.coalesce(*(F.when(is_(f"date{i}"), t) for i, t in enumerate(day_or_time)), F.lit(None).cast("string"))
+        kind = F.when(F.col(f"{c}_n") == 0, "string").when(boolean, "boolean").when(dated.isNotNull(), dated).when(is_("scientific"), "string").when(is_("digits"), F.when(is_("zero"), "string").otherwise("integer")).when(is_("decimal"), "decimal").otherwise("string")
+        flag = F.when(F.col(f"{c}_n") == 0, "empty-sample").when(boolean | dated.isNotNull(), F.lit(None)).when(is_("scientific"), "scientific-notation").when(is_("digits"), F.when(is_("zero"), "leading-zero")).when(~is_("decimal") & is_("some_decimal"), "mixed-parseable")
         return F.struct(F.lit(c).alias("column_name"), kind.alias("suggested_type"), flag.alias("red_flag"))
 
     return one.select(F.inline(F.array(*(row(c) for c in columns))))
@@ -224,11 +214,6 @@ def schema_drift(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.join(b, "name", "full_outer").withColumn("change", kind)
 
 
-_TOKEN = re.compile(r"\{(\w+)(?::([^}]+))?\}|\[|\]|[^{}\[\]]+")
-#: What each directive of a mask matches, and the pattern letters that read it.
-_WIDTHS = {"%Y": (4, "yyyy"), "%m": (2, "MM"), "%d": (2, "dd"), "%H": (2, "HH"), "%M": (2, "mm"), "%S": (2, "ss")}
-
-
 @dataclass
 class Mask:
     """A file name mask as a regular expression, with the group and the type of each facet."""
@@ -249,35 +234,72 @@ class Mask:
         return F.when(~name.rlike(self.regex), "filename-does-not-match-mask")
 
 
+def _literal(text: str) -> str:
+    """text as a pattern that Java and Python read alike."""
+    return "".join(c if c.isalnum() or c in "_ " else rf"\{c}" for c in text)
+
+
+def _date_facet(spec: str) -> tuple[str, str]:
+    """The regular expression and the datetime pattern of a strptime format whose directives are numbers.
+
+    A directive is as wide as what strftime writes for it, and its pattern letter repeated that often reads it.
+    """
+    regex, pattern, at = "", "", 0
+    while at < len(spec):
+        size = 2 if spec[at] == "%" else 1
+        piece, at = spec[at : at + size], at + size
+        if size == 1:
+            regex, pattern = regex + _literal(piece), pattern + f"'{piece}'"
+            continue
+        shown = datetime(2001, 1, 1).strftime(piece) if piece in DIRECTIVES else ""
+        if not shown.isdigit():
+            raise ValueError(f"unsupported directive {piece!r}")
+        regex, pattern = regex + f"[0-9]{{{len(shown)}}}", pattern + DIRECTIVES[piece][0] * len(shown)
+    return regex, pattern
+
+
+def _facet(spec: str) -> tuple[str, str, str]:
+    """Regular expression, type and datetime pattern of what follows a facet's name."""
+    if not spec:
+        return "[^_/.]+", "string", ""
+    if spec.endswith("d") and spec[:-1].isdigit():
+        return f"[0-9]{{{int(spec[:-1])}}}", "int", ""
+    if "%" in spec:
+        regex, pattern = _date_facet(spec)
+        return regex, "date", pattern
+    raise ValueError(f"unsupported format {spec!r}")
+
+
 def compile_mask(mask: str) -> Mask:
     """`{name}`, `{name:%Y%m%d}`, `{name:03d}` and one level of `[optional]` parts; the whole name must match."""
-    regex, facets, open_ = r"\A", {}, False
-    for m in _TOKEN.finditer(mask):
-        text, name, spec = m[0], m[1], m[2]
-        if text == "[":
-            if open_:
-                raise ValueError(f"nested [ in mask {mask!r}")
-            regex, open_ = regex + "(?:", True
-        elif text == "]":
-            if not open_:
-                raise ValueError(f"unmatched ] in mask {mask!r}")
-            regex, open_ = regex + ")?", False
-        elif name is None:
-            regex += re.sub(r"([^A-Za-z0-9_ ])", r"\\\1", text)
-        elif name in facets:
-            raise ValueError(f"facet {name!r} twice in mask {mask!r}")
-        elif spec is None:
-            regex += "([^_/.]+)"
-            facets[name] = (len(facets) + 1, "string", "")
-        elif digits := re.fullmatch(r"0?(\d+)d", spec):
-            regex += rf"([0-9]{{{int(digits[1])}}})"
-            facets[name] = (len(facets) + 1, "int", "")
-        else:
-            parts = re.findall(r"%.|[^%]", spec)
-            if any(p[0] == "%" and p not in _WIDTHS for p in parts):
-                raise ValueError(f"unsupported format {spec!r} in mask {mask!r}")
-            regex += "(" + "".join(rf"[0-9]{{{_WIDTHS[p][0]}}}" if p in _WIDTHS else re.escape(p) for p in parts) + ")"
-            facets[name] = (len(facets) + 1, "date", "".join(_WIDTHS[p][1] if p in _WIDTHS else f"'{p}'" for p in parts))
-    if open_:
-        raise ValueError(f"unclosed [ in mask {mask!r}")
-    return Mask(regex + r"\z", facets)
+    facets: dict[str, tuple[int, str, str]] = {}
+
+    def part(text: str) -> str:
+        out = ""
+        while text:
+            plain, brace, text = text.partition("{")
+            if "}" in plain:
+                raise ValueError(f"}} without {{ in mask {mask!r}")
+            out += _literal(plain)
+            if brace:
+                body, end, text = text.partition("}")
+                name, _, spec = body.partition(":")
+                if not end or not name.isidentifier() or name in facets:
+                    raise ValueError(f"unclosed, unnamed or repeated facet {body!r} in mask {mask!r}")
+                regex, kind, pattern = _facet(spec)
+                facets[name] = (len(facets) + 1, kind, pattern)
+                out += f"({regex})"
+        return out
+
+    regex, rest = "", mask
+    while rest:
+        before, open_, rest = rest.partition("[")
+        if "]" in before:
+            raise ValueError(f"] without [ in mask {mask!r}")
+        regex += part(before)
+        if open_:
+            inner, close, rest = rest.partition("]")
+            if not close or "[" in inner:
+                raise ValueError(f"unclosed or nested [ in mask {mask!r}")
+            regex += f"(?:{part(inner)})?"
+    return Mask(rf"\A{regex}\z", facets)

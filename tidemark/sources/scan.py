@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .detect import SourceError, decode, detect_delimiter, detect_encoding, detect_header, require_delimiter
+from .detect import SourceError, decode, detect_dialect, detect_encoding, detect_header, require_delimiter
 
 #: A field larger than this, and a file that unpacks to more, are errors.
 FIELD_LIMIT, UNPACKED_LIMIT = 1 << 20, 512 << 20
@@ -26,7 +26,7 @@ class CsvOptions:
     """None: found out from each file's sample."""
 
     delimiter: str | None = None
-    quote: str = '"'
+    quote: str | None = None
     encoding: str | None = None
     header_index: int | None = None
     unpacked_limit: int = UNPACKED_LIMIT
@@ -78,13 +78,16 @@ def records(name: str, raw: bytes, options: CsvOptions) -> Iterator[tuple[int, l
     try:
         data = unpack(name, raw, options.unpacked_limit)
         encoding = options.encoding or detect_encoding(data[: 64 * 1024]).name
+        if encoding == "undetermined":
+            raise SourceError("undetermined-encoding", "name one in the contract")
         text = decode(data, encoding).removeprefix("﻿").replace("\0", "")
         if not text:
             raise SourceError("empty-file")
         sample = text[: 64 * 1024]
-        delimiter = require_delimiter(detect_delimiter(sample, options.delimiter, options.quote))
+        dialect = detect_dialect(sample, options.delimiter, options.quote)
+        delimiter = require_delimiter(dialect.delimiter)
         csv.field_size_limit(options.field_limit)
-        read = lambda t: csv.reader(io.StringIO(t, newline=""), delimiter=delimiter, quotechar=options.quote, doublequote=True, strict=False)
+        read = lambda t: csv.reader(io.StringIO(t, newline=""), delimiter=delimiter, quotechar=dialect.quote, doublequote=True, strict=False)
         head = [r for _, r in zip(range(50), read(sample), strict=False)]
         header = detect_header(head, options.header_index)
         width, ordinal = len(header.names), 0
@@ -136,8 +139,10 @@ def resume(found: DataFrame, ordinal: int) -> DataFrame:
 
 def read_clean(spark: SparkSession, path: str | Sequence[str], schema: str, delimiter: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Files known to be regular, by the built-in reader, which splits them. Empty fields are null; short and long rows are kept aside in `_corrupt`."""
-    options = {"sep": delimiter, "quote": '"', "escape": '"', "header": True, "encoding": encoding, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "maxCharsPerColumn": FIELD_LIMIT}
-    return spark.read.options(**options).schema(f"{schema}, _corrupt string").csv(path if isinstance(path, str) else list(path))
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "header": True, "encoding": encoding, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "maxCharsPerColumn": FIELD_LIMIT, "columnPruning": False}  # else a query of few columns takes ragged rows for good ones
+    read = spark.read.options(**options).schema(f"{schema}, _corrupt string").csv(path if isinstance(path, str) else list(path))
+    # Spark refuses queries of _corrupt alone, so this one always asks for another column too.
+    return read.withColumn("_corrupt", F.when(F.col("_corrupt").isNotNull(), F.coalesce("_corrupt", F.col(read.columns[0]).cast("string"))))
 
 
 def concatenated(spark: SparkSession, parts: Sequence[str], options: CsvOptions = CsvOptions()) -> DataFrame:

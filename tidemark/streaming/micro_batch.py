@@ -12,33 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.history import merge_incremental, newest_first
-from ..plans.tables import VersionedTable
+from ..plans.tables import VersionedTables
 
 
 def run_available(spark: SparkSession, stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The target table under path, after everything the stream has now; keys and order choose the row that stays.
 
-    A batch number is stored with each row; batches at or below the table's highest one were merged before a crash and
-    are skipped.
+    The number of the last batch is committed together with the rows; batches up to it were merged before a crash and are
+    skipped.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields) + ", _run_id long"
-    target = VersionedTable(spark, f"{path}/table", schema)
+    target = VersionedTables(spark, f"{path}/table", {"rows": schema, "progress": "batch long"})
     best = newest_first(order[0], *order[1:])
 
     def merge(batch: DataFrame, number: int) -> None:
-        def make(current: DataFrame) -> DataFrame:
-            return merge_incremental(current, batch.withColumn("_run_id", F.lit(number).cast("long")), keys, best, number - 1)
+        def make(now: dict[str, DataFrame]) -> dict[str, DataFrame]:
+            if number <= (now["progress"].agg(F.max("batch")).first()[0] or -1):
+                return {}
+            rows = merge_incremental(now["rows"], batch.withColumn("_run_id", F.lit(number).cast("long")), keys, best, number - 1)
+            return {"rows": rows, "progress": spark.range(number, number + 1).toDF("batch")}
 
-        done = spark.read.text(f"{path}/done").first()[0] if _exists(spark, f"{path}/done") else "-1"
-        if number > int(done):
-            target.publish(make)
-            spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/done")
+        target.publish(make)
 
     run = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    return target.read().drop("_run_id")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    return target.read("rows").drop("_run_id")
