@@ -22,7 +22,7 @@ LOW, HIGH = -(1 << 63), (1 << 63) - 1
 #: Candidate keys tried inside each bracket in a round.
 PROBES = 15
 #: Bytes of a range, and ranges at most, whose splitters are broadcast: 40 bytes for each.
-RANGE_BYTES, MAX_RANGES = 1 << 27, 1 << 16
+RANGE_BYTES, MAX_RANGES = 1 << 25, 1 << 16
 #: The last 24 bits tell the rows of one text apart.
 KEY = "(xxhash64(text) & -16777216L) | (xxhash64(doc_id, text) & 16777215L)"
 SIZE = "cast(coalesce(octet_length(text), 0) + 1 as long)"
@@ -112,6 +112,6 @@ def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, tolera
     offsets = spark.createDataFrame([(r, first[r] - first[r - r % per]) for r in range(len(first))], f"`{range_}` int, `{offset}` long")
     ranged = docs.withColumn(key, F.expr(KEY))
     ranged = _ranged(spark, ranged, splitters, key, range_) if splitters else ranged.withColumn(range_, F.lit(0))
-    placed = ranged.repartition(len(first), range_).withColumn("slot", F.row_number().over(Window.partitionBy(range_).orderBy(key, "doc_id")))
+    placed = ranged.repartitionById(len(first), F.col(range_)).withColumn("slot", F.row_number().over(Window.partitionBy(range_).orderBy(key, "doc_id")))
     placed = placed.join(F.broadcast(offsets), range_)  # a row per range, MAX_RANGES at most
     return placed.withColumn("slot", (F.col("slot") - 1 + F.col(offset)).cast("long")).withColumn("shard", F.floor(F.col(range_) / per).cast("int")).drop(range_, key, offset)
