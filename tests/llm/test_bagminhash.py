@@ -80,6 +80,31 @@ def test_one_bucket_of_many_near_copies_is_whole(spark):
     assert [got[i] for i, _ in rows] == brute(rows, 0.7)
 
 
+def test_groups_and_blocks_of_any_size_give_the_same_classes(spark, monkeypatch):
+    import tidemark.llm.bagminhash as m
+
+    rows = corpus(6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for pivots, block, group_bytes in ((2, 3, 1 << 23), (256, 500, 700), (1, 1, 1)):
+        monkeypatch.setattr(m, "PIVOTS", pivots)
+        monkeypatch.setattr(m, "BLOCK", block)
+        monkeypatch.setattr(m, "GROUP_BYTES", group_bytes)
+        got = {x.doc_id: x.class_id for x in near_duplicate_classes(spark, docs, 0.7).collect()}
+        assert [got[i] for i, _ in rows] == brute(rows, 0.7)
+
+
+def test_a_bucket_of_different_texts_takes_few_rounds(spark, monkeypatch):
+    import tidemark.llm.bagminhash as m
+
+    monkeypatch.setattr(m, "PIVOTS", 4)
+    rounds, real = [], m._pivots
+    monkeypatch.setattr(m, "_pivots", lambda *a: (rounds.append(a[2]), real(*a))[1])
+    shared = [f"s{i}" for i in range(90)]
+    rows = [(i, " ".join(shared + [f"own{i}_{k}" for k in range(18)])) for i in range(120)] + [(500, " ".join(shared + [f"own7_{k}" for k in range(17)] + ["other"]))]
+    got = {x.doc_id: x.class_id for x in near_duplicate_classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 7 if i == 500 else i for i, _ in rows} and rounds == [4, 16, 64, 256][: len(rounds)] and len(rounds) <= 4
+
+
 def test_dropping_keeps_one_row_of_each_class(spark):
     rows = corpus(4)
     docs = spark.createDataFrame([(t, i, i * 2) for i, t in rows] + [(rows[5][1], 5, 10), (rows[5][1], None, 1)], "text string, doc_id long, tie int")

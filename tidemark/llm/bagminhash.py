@@ -11,8 +11,9 @@ document that leaves a component empty gets a horizon twice as far.
 Rows of one band hash make a bucket. Within buckets not all pairs are compared: in each round some members (pivots) are
 held against the others that are in another class so far, then leave. A bucket is done when all its members not yet
 pivots are in one class, so every pair is either compared or already linked. Nothing is capped, and a bucket of
-copies is done after one round. Later rounds, of the few buckets left, hold pivots against blocks of members inside
-a task, so that no row is made for a pair that turns out to be no link.
+copies is done after one round. Later rounds, of the few buckets left, hold groups of pivots against blocks of members
+inside a task, so that no row is made for a pair that turns out to be no link. Groups and blocks are bounded in rows and bytes,
+and each round takes four times as many pivots, so that a bucket of n texts that are all different takes log n rounds.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from .words import U64, Words, _power, find_words, mix64, pieces, shingles
 
 #: Pairs that share no band are never compared: at similarity 0.8 these are 7 in 10 ** 5, with 6 rows they would be 7 in 10 ** 4.
 BANDS, ROWS = 24, 5
-#: Pivots of a bucket in a round; the first round has one. Members that a task holds against them.
+#: Pivots that a task holds against a block of members, and members in a block.
 PIVOTS, BLOCK = 256, 500
+#: Bytes of texts in either, beyond which there is one more text at most; pivots of a bucket in one round at most.
+GROUP_BYTES, MOST_PIVOTS = 1 << 23, 1 << 16
 #: Contents whose texts are picked out by a broadcast of their ids, 16 bytes each, before the exchange.
 FEW = 50_000
 #: Together with the id it stands for a row; ids may be null or repeated.
@@ -129,12 +132,12 @@ def _sign(size: int):
                 own = _content(w)[rows]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(c).slice(at, to - at).take(pa.array(rows)) for c in ("doc_id", "tie")),
+                        *(batch.column(c).slice(at, to - at).take(pa.array(rows)) for c in ("doc_id", "tie", "bytes")),
                         pa.array([x.tobytes() for x in own], pa.binary()),
                         pa.array(np.bincount(doc, weights=count, minlength=to - at)[rows].astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS), pa.array(band.reshape(-1).view(np.int64))),
                     ],
-                    names=["doc_id", "tie", "content", "n", "bands"],
+                    names=["doc_id", "tie", "bytes", "content", "n", "bands"],
                 )
 
     return run
@@ -200,22 +203,29 @@ def _hooked(links: DataFrame) -> DataFrame:
     return low.alias("x").join(low.alias("y"), F.col("x.m") == F.col("y.u"), "left").select(F.col("x.u").alias("old"), F.coalesce(F.col("y.m"), F.col("x.m")).alias("new"))
 
 
-def _pivots(members: DataFrame, turn: int) -> DataFrame:
-    """key and pivots (pivot, root) of each bucket that is not done.
+def _first_pivots(members: DataFrame) -> DataFrame:
+    """key, pivot and its root: of each bucket the member of the highest degree, the sum of the sizes of all its buckets.
 
-    A pivot is the member of the highest degree, the sum of the sizes of all its buckets: where many texts differ from one
-    more than from each other, that is the one. Later, the largest class of a bucket waits, and
-    the others give the pivots.
+    Where many texts differ from one more than from each other, that is the one.
     """
-    if turn == 0:
-        top = F.max(F.struct("degree", "content")).alias("top")
-        return members.groupBy("key").agg(top).select("key", F.array(F.struct(F.col("top.content").alias("pivot"), F.col("top.content").alias("root"))).alias("pivots"))
-    parts = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
-    size = F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")
-    main = parts.agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), size).filter("roots > 1")
-    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "content"))
-    ranked = members.join(main, "key").filter("root != main").withColumn("rank", rank).filter(F.col("rank") <= PIVOTS)
-    return ranked.groupBy("key").agg(F.collect_list(F.struct(F.col("content").alias("pivot"), "root")).alias("pivots"), F.first("blocks").alias("blocks"))
+    top = members.groupBy("key").agg(F.max(F.struct("degree", "content")).alias("top"))
+    return top.select("key", F.col("top.content").alias("pivot"), F.col("top.content").alias("pivot_root"))
+
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """key, main (the largest class) and blocks of each bucket that is not done."""
+    parts = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).groupBy("key")
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.sum("bytes") / GROUP_BYTES)).cast("int").alias("blocks")
+    return parts.agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), blocks).filter("roots > 1").drop("roots")
+
+
+def _pivots(members: DataFrame, buckets: DataFrame, most: int) -> DataFrame:
+    """key, group, content and root of up to most pivots of each open bucket, by degree; its largest class waits, the others give them."""
+    order = Window.partitionBy("key").orderBy(F.desc("degree"), "content")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = members.join(buckets, "key").filter("root != main").withColumn("rank", F.row_number().over(order)).withColumn("sum", F.sum("bytes").over(upto))
+    group = F.floor((F.col("rank") - 1) / PIVOTS) + F.floor((F.col("sum") - F.col("bytes")) / GROUP_BYTES)  # both only grow, so a group has the bounds of each
+    return ranked.filter(F.col("rank") <= most).select("key", group.cast("int").alias("group"), "content", "root")
 
 
 def _in_blocks(size: int, threshold: float):
@@ -261,20 +271,21 @@ def _in_blocks(size: int, threshold: float):
     return run
 
 
-def _block_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    key = ["key", "block"]
-    members = open_.select("key", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int").alias("block"), "content", "root").join(texts, "content").select(*key, "content", "root", "text")
-    asked = open_.groupBy("key").agg(F.first("pivots").alias("pivots"), F.first("blocks").alias("blocks")).select("key", "blocks", F.explode("pivots").alias("p"))
-    asked = asked.select("key", "blocks", F.col("p.pivot").alias("content"), "p.root").join(texts, "content").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "content", "root", "text")
+def _block_links(open_: DataFrame, pivots: DataFrame, buckets: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    key = ["key", "block", "group"]
+    groups = pivots.groupBy("key").agg(F.collect_set("group").alias("groups"))
+    members = open_.join(buckets.join(groups, "key"), "key").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
+    members = members.join(texts, "content").select("key", "block", F.explode("groups").alias("group"), "content", "root", "text")
+    asked = pivots.join(buckets, "key").join(texts, "content").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "group", "content", "root", "text")
     asked = asked.select(*(F.col(c).alias(f"pivot_{c}") for c in asked.columns))
-    return members.groupBy(*key).cogroup(asked.groupBy("pivot_key", "pivot_block")).applyInArrow(_in_blocks(size, threshold), "a binary, b binary, root_a binary, root_b binary")
+    return members.groupBy(*key).cogroup(asked.groupBy(*(f"pivot_{c}" for c in key))).applyInArrow(_in_blocks(size, threshold), "a binary, b binary, root_a binary, root_b binary")
 
 
 def _pair_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """As there is one pivot, which a pair of texts has in common in many buckets, distinct pairs are fewest."""
-    pairs = open_.select("content", "root", F.explode("pivots").alias("p")).filter("p.root != root")
-    swap = F.col("content") > F.col("p.pivot")
-    both = F.struct("content", "root"), F.struct(F.col("p.pivot").alias("content"), F.col("p.root").alias("root"))
+    pairs = open_.filter("pivot_root != root")
+    swap = F.col("content") > F.col("pivot")
+    both = F.struct("content", "root"), F.struct(F.col("pivot").alias("content"), F.col("pivot_root").alias("root"))
     pairs = pairs.select(F.when(swap, both[1]).otherwise(both[0]).alias("x"), F.when(swap, both[0]).otherwise(both[1]).alias("y"))
     pairs = pairs.select(F.col("x.content").alias("a"), F.col("x.root").alias("root_a"), F.col("y.content").alias("b"), F.col("y.root").alias("root_b")).distinct()
     full = pairs.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
@@ -284,31 +295,37 @@ def _pair_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float)
 def _link(scratch: Scratch, members: DataFrame, texts: DataFrame, size: int, threshold: float) -> list[DataFrame]:
     """Tables of verified links (a, b) that connect all contents that links of any kind connect.
 
-    members: key, content, degree. Between rounds links are only followed two steps, which may leave one class under several
-    roots; that costs comparisons, not links.
+    members: key, content, degree, bytes. Between rounds links are only followed two steps, which may leave one class under
+    several roots; that costs comparisons, not links.
     """
     found: list[DataFrame] = []
+    columns = ["key", "content", "degree", "bytes"]
     members = members.withColumn("root", F.col("content"))
     for turn in range(1 << 30):
-        pivots = scratch.keep(_pivots(members, turn))
-        if pivots.isEmpty():
-            return found
-        open_ = members.join(pivots, "key")
-        if turn:
-            open_ = scratch.keep(open_)
-            own = _only(texts, open_)
-            links = scratch.keep(_block_links(open_, own, size, threshold).distinct())
-        else:
+        if turn == 0:
+            pivots = scratch.keep(_first_pivots(members))
+            if pivots.isEmpty():
+                return found
+            open_ = members.join(pivots, "key")
             links = scratch.keep(_pair_links(open_, texts, size, threshold))
-        rest = open_.filter(~F.exists("pivots", lambda p: p["pivot"] == F.col("content"))).select("key", "content", "degree", "root")
+            rest = open_.filter("pivot != content").select(*columns, "root")
+        else:
+            buckets = scratch.keep(_open_buckets(members))
+            if buckets.isEmpty():
+                return found
+            pivots = scratch.keep(_pivots(members, buckets, min(MOST_PIVOTS, PIVOTS * 4 ** (turn - 1))))
+            open_ = scratch.keep(members.join(buckets.select("key"), "key", "left_semi"))
+            links = scratch.keep(_block_links(open_, pivots, buckets, _only(texts, open_), size, threshold).distinct())
+            rest = open_.join(pivots.select("key", "content"), ["key", "content"], "left_anti").select(*columns, "root")
         if not links.isEmpty():
             found.append(links.select("a", "b"))
-            rest = rest.join(_hooked(links), F.col("root") == F.col("old"), "left").select("key", "content", "degree", F.coalesce("new", "root").alias("root"))
+            rest = rest.join(_hooked(links), F.col("root") == F.col("old"), "left").select(*columns, F.coalesce("new", "root").alias("root"))
         old, members = members, scratch.keep(rest)
         if turn:
-            scratch.drop(old)
+            scratch.drop(old, open_, buckets)
+        scratch.drop(pivots)
         scratch.release()
-    return found
+    raise AssertionError("a round without end")
 
 
 def near_duplicate_classes(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -321,12 +338,13 @@ def near_duplicate_classes(spark: SparkSession, docs: DataFrame, threshold: floa
     """
     scratch = Scratch(spark, "bagminhash")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.expr(TIE))
-    signed = scratch.keep(docs.mapInArrow(_sign(size), "doc_id long, tie long, content binary, n long, bands array<long>"))
+    sized = docs.withColumn("bytes", F.octet_length("text").cast("long"))
+    signed = scratch.keep(sized.mapInArrow(_sign(size), "doc_id long, tie long, bytes long, content binary, n long, bands array<long>"))
     named = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie")
-    contents = scratch.keep(signed.groupBy("content").agg(F.min(named).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
-    spread = contents.select("content", F.explode("bands").alias("key"))
+    contents = scratch.keep(signed.groupBy("content").agg(F.min(named).alias("rep"), F.count("*").alias("copies"), F.max("bytes").alias("bytes"), F.first("bands").alias("bands")))
+    spread = contents.select("content", "bytes", F.explode("bands").alias("key"))
     shared = scratch.keep(spread.join(scratch.keep(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")), "key"))
-    members = scratch.keep(shared.join(shared.groupBy("content").agg(F.sum("n").alias("degree")), "content").select("key", "content", "degree"))
+    members = scratch.keep(shared.join(shared.groupBy("content").agg(F.sum("n").alias("degree")), "content").select("key", "content", "degree", "bytes"))
     scratch.drop(shared)
     asked = members.select("content").distinct().join(contents, "content").select("content", F.col("rep.doc_id").alias("rep_id"), F.col("rep.tie").alias("rep_tie"))
     texts = docs.join(asked, (F.col("tie") == F.col("rep_tie")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["rep_id", "rep_tie"]).select("content", "text")

@@ -25,7 +25,7 @@ MARK, SPACE = "▁", b" "
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Bytes of text whose distinct chunks are solved together; each takes some 250 bytes of memory.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 
 
 class DoubleArray:

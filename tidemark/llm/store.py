@@ -4,26 +4,11 @@ from __future__ import annotations
 
 import atexit
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset and all runs on one machine, as in tests, a folder of our own."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-    return _own[app]
-
+from ..session import shared_dir
 
 def delete(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
