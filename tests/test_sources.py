@@ -91,6 +91,25 @@ def test_archives():
             unpack(name, raw, 50)
 
 
+def test_files_are_read_piece_by_piece(monkeypatch):
+    import tidemark.sources.scan as m
+
+    lines = ["id,name"] + [f'{k},"é {k}\n""x"""' for k in range(2000)] + ["x"]
+    raw = "\r\n".join(lines).encode()
+    want = list(m.records(lambda: m.unpacked("a.csv", raw), CsvOptions()))
+    assert want[0] == (0, ["id", "name"], None) and want[2000] == (2000, ["1999", 'é 1999\n"x"'], None) and want[-1] == (2001, ["x"], "RAGGED_ROW")
+    packed = gzip.compress(raw[:30_001]) + b"\0\0" + gzip.compress(raw[30_001:])
+    zipped = io.BytesIO()
+    with zipfile.ZipFile(zipped, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", raw)
+    for piece in (1 << 20, 7, 1):
+        monkeypatch.setattr(m, "PIECE", piece)
+        for name, data in (("a.csv", raw), ("a.csv.gz", packed), ("a.csv.zip", zipped.getvalue())):
+            assert list(m.records(lambda: m.unpacked(name, data), CsvOptions())) == want, (name, piece)
+    late = raw + b"\n5,\xff\n"  # a bad byte far behind the sample: no record comes first
+    assert [r[0] for r in m.records(lambda: m.unpacked("a.csv", late + raw * 3), CsvOptions(encoding="utf-8"))] == [-1]
+
+
 def test_clean_reader_and_parts(spark, tmp_path):
     (tmp_path / "p.1.csv").write_text('id,name\n1,"a,b"\n2\n')
     (tmp_path / "p.2.csv").write_text("3,c\n")

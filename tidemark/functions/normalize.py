@@ -17,6 +17,8 @@ SCIENTIFIC = r"\A-?[0-9](\.[0-9]+)?[eE][+-]?[0-9]+\z"
 #: What an exact decimal may look like after its locale is gone: no underscores, no infinities. Its parts are the sign, the
 #: digits before and after the point, and the exponent; one of more than three digits would make texts of thousands of zeros.
 PLAIN_NUMBER = r"\A([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?0*[0-9]{1,3}))?\z"
+#: One as exact() gives it.
+CANONICAL_NUMBER = r"\A(?:0|-?(?:[1-9][0-9]*(?:\.[0-9]*[1-9])?|0\.[0-9]*[1-9]))\z"
 TIME_DIRECTIVES = ("%H", "%I", "%M", "%S", "%f", "%z", "%Z", "%p", "%X")
 #: strptime directives by the datetime pattern letters that read the same texts; one digit suffices for day and month.
 DIRECTIVES = {"%Y": "yyyy", "%m": "M", "%d": "d", "%H": "H", "%M": "m", "%S": "s", "%y": "yy", "%b": "MMM", "%B": "MMMM", "%f": "SSSSSS", "%j": "D", "%p": "a", "%I": "h"}
@@ -103,7 +105,8 @@ def exact(text: Column, shift: Column | int = 0) -> Column:
         point = F.length(part(2)) + F.coalesce(part(4).try_cast("int"), F.lit(0)) + shift
         return F.when(t.rlike(PLAIN_NUMBER), _let(F.struct(part(1).alias("sign"), part(2).alias("whole"), part(3).alias("rest"), point.alias("point")), shown))
 
-    return _let(text, parts)
+    # Most numbers need nothing.
+    return _let(text, lambda t: F.when(t.rlike(CANONICAL_NUMBER) & ((shift if isinstance(shift, Column) else F.lit(shift)) == 0), t).otherwise(parts(t)))
 
 
 def decimal(col: Column, profile: NumberProfile = NumberProfile()) -> Column:

@@ -33,9 +33,12 @@ class ColumnContract:
     true_tokens: tuple[str, ...] = ("true",)
     false_tokens: tuple[str, ...] = ("false",)
 
+    def text(self) -> Column:
+        return n.null_tokens(F.col(f"`{self.name}`"), self.null_tokens if self.nullable else ())
+
     def outcome(self) -> Column:
         """The normalised text and error of this column's text."""
-        text = n.null_tokens(F.col(self.name), self.null_tokens if self.nullable else ())
+        text = self.text()
         if self.type in ("integer", "decimal"):
             return n.decimal(text, self.numbers)
         if self.type in ("date", "timestamp"):
@@ -87,34 +90,44 @@ def with_sentinels(contract: DatasetContract, sentinels: Mapping[str, Sequence[s
     return replace(contract, columns=tuple(replace(c, null_tokens=(*c.null_tokens, *sentinels.get(c.name, ()))) for c in contract.columns))
 
 
+def _once(df: DataFrame, **made: Column) -> DataFrame:
+    """df with more columns, each computed once per row however often it is read: filters don't move below a generator and take them along."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in made.items())))))
+
+
 @dataclass
 class Normalised:
-    """good has normalised texts; rejects the row's error, its column and the raw line as well."""
+    """good has the values; rejects the row's first error, its column and the raw line."""
 
     good: DataFrame
     rejects: DataFrame
 
 
+def _separated(rows: DataFrame, contract: DatasetContract, outcomes: dict[str, Column]) -> Normalised:
+    """outcomes: by column of the contract, structs of value and error, of which the first in the contract's order counts."""
+    judged = _once(rows, **{f"_o{k}": outcomes[c] for k, c in enumerate(contract.names)})
+    errors = [F.when(F.col(f"_o{k}.error").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"_o{k}.error").alias("error"))) for k, c in enumerate(contract.names)]
+    judged = judged.withColumn("_error", F.coalesce(*errors))
+    others = [F.col(f"`{c}`") for c in rows.columns if c not in contract.names]
+    good = judged.filter("_error IS NULL").select(*(F.col(f"_o{k}.value").alias(c) for k, c in enumerate(contract.names)), *others)
+    raw = n.raw_line(*(F.col(f"`{c}`") for c in contract.names)).alias("raw_line")
+    return Normalised(good, judged.filter("_error IS NOT NULL").select(*others, F.col("_error.error").alias("error_type"), F.col("_error.column").alias("error_column"), raw))
+
+
 def normalised(rows: DataFrame, contract: DatasetContract) -> Normalised:
-    """rows (the contract's columns as text, and others, which stay) with every value normalised in one projection.
+    """rows (the contract's columns as text, and others, which stay) with every value normalised; NUL characters go first.
 
-    Columns go in the contract's order, so a row's error is that of the first column that has one. NUL characters go first.
+    A null text is absent, an empty one what the column's null tokens make of it. An empty table gives empty ones.
     """
-    clean = rows.select(*(n.strip_nul(F.col(c)).alias(c) if c in contract.names else F.col(c) for c in rows.columns))
-    judged = clean.select("*", *(c.outcome().alias(f"_o_{c.name}") for c in contract.columns))
-    errors = F.array(*(F.when(F.col(f"_o_{c.name}.error").isNotNull(), F.struct(F.lit(c.name).alias("column"), F.col(f"_o_{c.name}.error").alias("error"))) for c in contract.columns))
-    judged = judged.withColumn("_error", F.get(F.filter(errors, lambda e: e.isNotNull()), 0))
-    others = [c for c in rows.columns if c not in contract.names]
-    good = judged.filter("_error IS NULL").select(*(F.col(f"_o_{c}.value").alias(c) for c in contract.names), *others)
-    rejects = judged.filter("_error IS NOT NULL").select(*others, F.col("_error.error").alias("error_type"), F.col("_error.column").alias("error_column"), n.raw_line(*(F.col(c) for c in contract.names)).alias("raw_line"))
-    return Normalised(good, rejects)
+    clean = rows.select(*(n.strip_nul(F.col(f"`{c}`")).alias(c) if c in contract.names else F.col(f"`{c}`") for c in rows.columns))
+    # What goes by Python can't stand in a generator.
+    composed = clean.select("*", *(n.nfc(c.text()).alias(f"_n{k}") for k, c in enumerate(contract.columns) if c.type == "string"))
+    made = {c.name: n.outcome(F.col(f"_n{k}")) if c.type == "string" else c.outcome() for k, c in enumerate(contract.columns)}
+    found = _separated(composed, contract, made)
+    extra = [x for x in composed.columns if x not in clean.columns]
+    return Normalised(found.good.drop(*extra), found.rejects.drop(*extra))
 
 
 def typed_rows(good: DataFrame, contract: DatasetContract) -> Normalised:
     """Normalised texts as the contract's types, as they are published; rows that don't fit are rejects, none becomes null silently."""
-    cast = good.select("*", *(n.typed(F.col(c.name), c.type).alias(f"_t_{c.name}") for c in contract.columns))
-    others = [c for c in good.columns if c not in contract.names]
-    first = F.coalesce(*(F.when(F.col(f"_t_{c}.error").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"_t_{c}.error").alias("error"))) for c in contract.names))
-    cast = cast.withColumn("_error", first)
-    fits = cast.filter("_error IS NULL").select(*(F.col(f"_t_{c}.value").alias(c) for c in contract.names), *others)
-    return Normalised(fits, cast.filter("_error IS NOT NULL").select(*others, F.col("_error.error").alias("error_type"), F.col("_error.column").alias("error_column"), n.raw_line(*(F.col(c) for c in contract.names)).alias("raw_line")))
+    return _separated(good, contract, {c.name: n.typed(F.col(f"`{c.name}`"), c.type) for c in contract.columns})
