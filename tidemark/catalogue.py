@@ -16,9 +16,10 @@ from .operators import history as h
 from .operators import quality as q
 from .operators import reconcile as r
 from .operators import runs as m
-from .sources import contract as c
-from .plans.tables import VersionedTable
+from .operators.counters import Counters
+from .plans.tables import BronzeTable, VersionedTable
 from .session import shared_dir
+from .sources import contract as c
 from .sources import detect, discover
 from .sources.scan import CsvOptions, as_columns, concatenated, resume, scan
 
@@ -876,6 +877,78 @@ def validation_report(spark, sf_dir):
     return m.report(found.select(F.lit(1).cast("long").alias("run_id"), "rule_type", F.col("status").alias("outcome"), F.col("evaluated").alias("evaluated_count"), F.col("failed").alias("failed_count")))
 
 
+def _at(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return _written(spark, sf_dir, name, {})
+
+
+@query(FINDINGS + " SELECT 1::BIGINT AS run_id, rule_type, outcome, evaluated AS evaluated_count, failed AS failed_count FROM (SELECT *, CASE WHEN failed = 0 THEN 'PASS' WHEN strategy = 'WARN_AND_CONTINUE' THEN 'PASS_WITH_WARNING' ELSE 'FAIL' END AS outcome FROM f)")
+def findings_recorded(spark, sf_dir):
+    """A try that died had recorded other findings for the run; those of the next one stand."""
+    ledger = m.RunLedger(spark, _at(spark, sf_dir, "findings"))
+    found = q.findings(q.judge(dirty_customers(spark, sf_dir), CUSTOMER_RULES, "ordinal"), CUSTOMER_RULES)
+    rows = found.select(F.lit(1).cast("long").alias("run_id"), "rule_type", F.col("status").alias("outcome"), F.col("evaluated").alias("evaluated_count"), F.col("failed").alias("failed_count"))
+    ledger.record("findings", rows.withColumn("failed_count", F.col("failed_count") + 1), 1)
+    ledger.record("findings", rows, 1)
+    return ledger.read("findings").select("run_id", "rule_type", "outcome", "evaluated_count", "failed_count")
+
+
+@query(f"WITH {DIRTY_CUSTOMERS} SELECT 1::BIGINT AS run_id, ordinal AS source_row_number, coalesce(e1, e2, e4) AS error_type, 'PENDING' AS resolution_type FROM judged WHERE coalesce(e1, e2, e4) IS NOT NULL")
+def rejects_recorded(spark, sf_dir):
+    ledger = m.RunLedger(spark, _at(spark, sf_dir, "rejects"))
+    rejects = q.split(dirty_customers(spark, sf_dir), CUSTOMER_RULES, "ordinal").rejects
+    rows = rejects.select(F.lit(1).cast("long").alias("run_id"), F.col("ordinal").cast("long").alias("source_row_number"), "error_type", "error_column", F.lit("PENDING").alias("resolution_type"))
+    ledger.record("rejects", rows, 1)
+    return ledger.read("rejects").select("run_id", "source_row_number", "error_type", "resolution_type")
+
+
+@query("""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE day(ts) % 7 <> 3), s AS (SELECT CAST(unnest(range(min(day), max(day) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM d) SELECT 'events' AS dataset, 'run-' || strftime(day, '%Y-%m-%d') AS dag_run FROM s WHERE day NOT IN (SELECT day FROM d)""")
+def gaps_recorded(spark, sf_dir):
+    """Once for each run, however often it is told."""
+    ledger = m.RunLedger(spark, _at(spark, sf_dir, "gaps"))
+    days = table(spark, sf_dir, "events").filter("day(ts) % 7 != 3").select(F.to_date("ts").alias("day"))
+    rows = r.gaps(days, "day").select(F.lit("events").alias("dataset"), F.concat(F.lit("run-"), F.col("day").cast("string")).alias("dag_run"), F.lit("b").alias("backfill_id"))
+    ledger.record("gaps", rows)
+    ledger.record("gaps", rows)
+    return ledger.read("gaps").select("dataset", "dag_run")
+
+
+@query(f"WITH {BRONZE} SELECT o_custkey, o_orderstatus, _source_row_number, _run_id FROM bronze WHERE _run_id <> 3 AND NOT (_run_id = 2 AND _source_row_number % 2 = 0)")
+def bronze_reruns(spark, sf_dir):
+    """Run 2 is tried again with half of its rows, run 3 with none."""
+    at = _at(spark, sf_dir, "bronze")
+    rows = bronze_orders(spark, sf_dir).select(F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus", F.col("_source_row_number").cast("long").alias("_source_row_number"), "_run_id")
+    bronze = BronzeTable(spark, f"{at}/t", "o_custkey long, o_orderstatus string, _source_row_number long")
+    for run in range(9):  # a run per year
+        bronze.append(rows.filter(F.col("_run_id") == run), run)
+    bronze.append(rows.filter("_run_id = 2 AND _source_row_number % 2 != 0"), 2)
+    bronze.append(rows.filter("_run_id < 0"), 3)
+    return bronze.read().select("o_custkey", "o_orderstatus", "_source_row_number", "_run_id")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer WHERE c_custkey % 4 = 0")
+def per_run_staging(spark, sf_dir):
+    """All text, and of the last try only."""
+    bronze = BronzeTable(spark, f"{_at(spark, sf_dir, 'staging')}/t", "id string, name string")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    bronze.stage(rows, 1)
+    return bronze.stage(rows.filter("id % 4 = 0"), 1)
+
+
+@query("SELECT 'customers.rows' AS counter, count(*) AS n FROM customer UNION ALL SELECT 'customers.rich', count(*) FROM customer WHERE c_acctbal > 5000 UNION ALL SELECT 'kept.rows', count(*) FROM customer WHERE c_custkey % 2 = 0")
+def observed_counters(spark, sf_dir):
+    counters = Counters()
+    seen = counters.watch(table(spark, sf_dir, "customer"), "customers", rich=F.col("c_acctbal") > 5000)
+    counters.watch(seen.filter("c_custkey % 2 = 0"), "kept").write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counters.values().items()), "counter string, n long")
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN 'RAGGED_ROW' END AS error FROM part")
+def structural_rule(spark, sf_dir):
+    fields = F.when(F.col("p_partkey") % 6 == 0, F.array("p_name")).otherwise(F.array("p_name", "p_name"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", fields.alias("fields"))
+    return q.judge(rows, [q.Rule("structural", "fields", options={"width": 2})], "p_partkey").select("p_partkey", F.get("_errors", 0).alias("error"))
+
+
 BREACH = """WITH f AS (SELECT CAST(o_custkey % 23 AS INT) AS dataset_id, max(o_orderdate - INTERVAL (o_custkey % 23) DAY) AS last_file FROM orders GROUP BY 1),
 d AS (SELECT n_nationkey AS dataset_id, n_name AS dataset_name, CAST(epoch(TIMESTAMP '2001-08-02') - epoch(coalesce(last_file, TIMESTAMP '1994-01-01')) AS BIGINT) AS delay,
   CASE WHEN n_nationkey % 3 = 0 THEN 86400 ELSE 0 END AS warn, CASE WHEN n_nationkey % 2 = 0 THEN 259200 END AS fail FROM nation LEFT JOIN f ON f.dataset_id = n_nationkey WHERE n_nationkey % 5 <> 0)"""
@@ -936,12 +1009,13 @@ CUSTOMER_CONTRACT = c.DatasetContract(
     (
         c.ColumnContract("id", "integer", nullable=False, business_key=True),
         c.ColumnContract("name", "string"),
-        c.ColumnContract("balance", "decimal", null_tokens=("", "n/a")),
+        c.ColumnContract("balance", "decimal"),
         c.ColumnContract("day", "date"),
         c.ColumnContract("flag", "boolean", true_tokens=("Y",), false_tokens=("N",)),
     ),
     dedup_keys=("id",),
 )
+CUSTOMER_CONTRACT = c.with_sentinels(CUSTOMER_CONTRACT, {"balance": ("n/a",)})
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1154,4 +1228,15 @@ def stream_available_now(spark, sf_dir):
     return target.select("user_id", "event_id", "ts", "event_type")
 
 
+@query(ORACLES["upsert_hash_guarded"])
+def publisher_dispatch(spark, sf_dir):
+    """The upsert, found by the name of its strategy."""
+    from .plans.ingest import resolve_publisher
+
+    bronze = bronze_orders(spark, sf_dir)
+    resident = h.winners(bronze.filter("_run_id <= 4"), ["o_custkey"], h.newest_first("event_ts", "_source_row_number"))
+    made = resolve_publisher("upsert")(resident, bronze.filter("_run_id > 4"), "o_custkey", "event_ts", ties=("_source_row_number",))
+    return made.select("o_custkey", "o_orderstatus", "event_ts", "_action")
+
+
 ORACLES["stream_available_now"] = "SELECT user_id, event_id, ts, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"

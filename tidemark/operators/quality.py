@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.normalize import ragged
+
 #: Rows that uniqueness looks at together.
 CHUNK_ROWS = 1000
 STRATEGIES = ("REJECT_RECORD", "QUARANTINE_RECORD", "WARN_AND_CONTINUE", "FAIL_FILE", "QUARANTINE_FILE")
@@ -37,6 +39,11 @@ def pattern(col: Column, regex: str) -> Column:
     return F.when(~F.coalesce(col, F.lit("")).rlike(rf"\A(?:{regex})\z"), "PATTERN_VIOLATION")
 
 
+def structural(fields: Column, width: int) -> Column:
+    """Rows, as arrays of fields, that aren't as wide as the header."""
+    return ragged(fields, width)
+
+
 def uniqueness(col: Column, ordinal: Column, chunk_rows: int | None = CHUNK_ROWS, first_ordinal: int = 0) -> Column:
     """All but the first row of a value within its chunk of rows, or within all rows if chunk_rows is None; nulls are equal."""
     keys = [col] if chunk_rows is None else [F.floor((ordinal - first_ordinal) / chunk_rows), col]
@@ -64,7 +71,7 @@ class Rule:
         return REGISTRY[self.kind](F.col(self.column), **self.options)
 
 
-REGISTRY: dict[str, Callable[..., Column]] = {"completeness": completeness, "validity_range": validity_range, "pattern": pattern, "uniqueness": uniqueness}
+REGISTRY: dict[str, Callable[..., Column]] = {"completeness": completeness, "validity_range": validity_range, "pattern": pattern, "uniqueness": uniqueness, "structural": structural}
 
 
 @dataclass

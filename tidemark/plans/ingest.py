@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize as n
 from ..operators import history as h
 from ..operators import quality as q
+from ..operators.counters import Counters
 from ..sources.contract import DatasetContract, normalised
 from ..sources.scan import read_clean
 from .tables import BronzeTable
@@ -62,6 +63,7 @@ def ingest(spark: SparkSession, paths: str | Sequence[str], contract: DatasetCon
     return Ingested(good, ragged.unionByName(made.rejects).unionByName(failed), split.findings)
 
 
-def load(spark: SparkSession, paths: str | Sequence[str], contract: DatasetContract, bronze: BronzeTable, run_id: int) -> None:
-    """Good rows of the files as a run of bronze; a run tried again replaces itself."""
-    bronze.append(ingest(spark, paths, contract).good, run_id)
+def load(spark: SparkSession, paths: str | Sequence[str], contract: DatasetContract, bronze: BronzeTable, run_id: int, counters: Counters | None = None) -> None:
+    """Good rows of the files as a run of bronze; a run tried again replaces itself. counters gets `loaded.rows`."""
+    good = ingest(spark, paths, contract).good
+    bronze.append(counters.watch(good, "loaded") if counters else good, run_id)
