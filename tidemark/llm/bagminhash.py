@@ -12,7 +12,8 @@ Rows of one band hash make a bucket. Within buckets not all pairs are compared:
 held against the others that are in another class so far, then leave. A bucket is done when all its members not yet
 pivots are in one class, so every pair is either compared or already linked. Nothing is capped, and a bucket of
 copies is done after one round. Later rounds, of the few buckets left, hold groups of pivots against blocks of members
-inside a task, so that no row is made for a pair that turns out to be no link. Groups and blocks are bounded in rows and bytes,
+inside a task, so that no row is made for a pair that turns out to be no link. Two texts whose numbers of runs differ by more than
+the threshold allows can't be a link, so only the others are read. Groups and blocks are bounded in rows and bytes,
 and each round takes four times as many pivots, so that a bucket of n texts that are all different takes log n rounds.
 """
 
@@ -34,7 +35,7 @@ BANDS, ROWS = 24, 5
 #: Pivots that a task holds against a block of members, and members in a block.
 PIVOTS, BLOCK = 256, 500
 #: Bytes of texts in either, beyond which there is one more text at most; pivots of a bucket in one round at most.
-GROUP_BYTES, MOST_PIVOTS = 1 << 23, 1 << 16
+GROUP_BYTES, MOST_PIVOTS = 1 << 23, 1 << 13
 #: Contents whose texts are picked out by a broadcast of their ids, 16 bytes each, before the exchange.
 FEW = 50_000
 #: Together with the id it stands for a row; ids may be null or repeated.
@@ -208,8 +209,8 @@ def _first_pivots(members: DataFrame) -> DataFrame:
 
     Where many texts differ from one more than from each other, that is the one.
     """
-    top = members.groupBy("key").agg(F.max(F.struct("degree", "content")).alias("top"))
-    return top.select("key", F.col("top.content").alias("pivot"), F.col("top.content").alias("pivot_root"))
+    top = members.groupBy("key").agg(F.max(F.struct("degree", "content", "runs")).alias("top"))
+    return top.select("key", F.col("top.content").alias("pivot"), F.col("top.content").alias("pivot_root"), F.col("top.runs").alias("pivot_runs"))
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
@@ -255,12 +256,24 @@ def _in_blocks(size: int, threshold: float):
             contents, roots = members.column("content").to_pylist(), members.column("root").to_pylist()
             for at, key, of, count in bag_list(members.column("text").combine_chunks()):
                 total = np.bincount(of, weights=count)
+                by_size = np.argsort(total, kind="stable")
+                sizes, place_of = total[by_size], np.empty(len(total), np.int64)
+                place_of[by_size] = np.arange(len(total))
+                order = np.argsort(place_of[of], kind="stable")
+                key, of, count = key[order], place_of[of][order], count[order]
+                edge = np.searchsorted(of, np.arange(len(total) + 1))
                 for k, (pivot_key, pivot_count) in held.items():
-                    place = np.minimum(np.searchsorted(pivot_key, key), len(pivot_key) - 1)
-                    same = pivot_key[place] == key
-                    common = np.bincount(of[same], weights=np.minimum(count[same], pivot_count[place[same]]), minlength=len(total))
-                    near = common >= threshold * (total + pivot_count.sum() - common) - 1e-9
-                    for m in np.flatnonzero(near & (total > 0)):
+                    own_size = pivot_count.sum()
+                    lo, hi = np.searchsorted(sizes, threshold * own_size - 1e-6), np.searchsorted(sizes, own_size / threshold + 1e-6, side="right")
+                    lo = max(lo, np.searchsorted(sizes, 0, side="right"))
+                    if lo >= hi:
+                        continue
+                    run = slice(edge[lo], edge[hi])
+                    place = np.minimum(np.searchsorted(pivot_key, key[run]), len(pivot_key) - 1)
+                    same = pivot_key[place] == key[run]
+                    common = np.bincount(of[run][same] - lo, weights=np.minimum(count[run][same], pivot_count[place[same]]), minlength=hi - lo)
+                    near = common >= threshold * (sizes[lo:hi] + own_size - common) - 1e-9
+                    for m in by_size[lo + np.flatnonzero(near)]:
                         x, y = (contents[at + m], roots[at + m]), own[k]
                         if (p := top(x[1])) != (q := top(y[1])):
                             joined[p] = q
@@ -283,7 +296,7 @@ def _block_links(open_: DataFrame, pivots: DataFrame, buckets: DataFrame, texts:
 
 def _pair_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """As there is one pivot, which a pair of texts has in common in many buckets, distinct pairs are fewest."""
-    pairs = open_.filter("pivot_root != root")
+    pairs = open_.filter("pivot_root != root").filter(F.least("runs", "pivot_runs") >= threshold * F.greatest("runs", "pivot_runs") - 1e-6)
     swap = F.col("content") > F.col("pivot")
     both = F.struct("content", "root"), F.struct(F.col("pivot").alias("content"), F.col("pivot_root").alias("root"))
     pairs = pairs.select(F.when(swap, both[1]).otherwise(both[0]).alias("x"), F.when(swap, both[0]).otherwise(both[1]).alias("y"))
@@ -295,11 +308,11 @@ def _pair_links(open_: DataFrame, texts: DataFrame, size: int, threshold: float)
 def _link(scratch: Scratch, members: DataFrame, texts: DataFrame, size: int, threshold: float) -> list[DataFrame]:
     """Tables of verified links (a, b) that connect all contents that links of any kind connect.
 
-    members: key, content, degree, bytes. Between rounds links are only followed two steps, which may leave one class under
+    members: key, content, degree, bytes, runs. Between rounds links are only followed two steps, which may leave one class under
     several roots; that costs comparisons, not links.
     """
     found: list[DataFrame] = []
-    columns = ["key", "content", "degree", "bytes"]
+    columns = ["key", "content", "degree", "bytes", "runs"]
     members = members.withColumn("root", F.col("content"))
     for turn in range(1 << 30):
         if turn == 0:
@@ -341,10 +354,10 @@ def near_duplicate_classes(spark: SparkSession, docs: DataFrame, threshold: floa
     sized = docs.withColumn("bytes", F.octet_length("text").cast("long"))
     signed = scratch.keep(sized.mapInArrow(_sign(size), "doc_id long, tie long, bytes long, content binary, n long, bands array<long>"))
     named = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie")
-    contents = scratch.keep(signed.groupBy("content").agg(F.min(named).alias("rep"), F.count("*").alias("copies"), F.max("bytes").alias("bytes"), F.first("bands").alias("bands")))
-    spread = contents.select("content", "bytes", F.explode("bands").alias("key"))
+    contents = scratch.keep(signed.groupBy("content").agg(F.min(named).alias("rep"), F.count("*").alias("copies"), F.max("bytes").alias("bytes"), F.first("n").alias("runs"), F.first("bands").alias("bands")))
+    spread = contents.select("content", "bytes", "runs", F.explode("bands").alias("key"))
     shared = scratch.keep(spread.join(scratch.keep(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")), "key"))
-    members = scratch.keep(shared.join(shared.groupBy("content").agg(F.sum("n").alias("degree")), "content").select("key", "content", "degree", "bytes"))
+    members = scratch.keep(shared.join(shared.groupBy("content").agg(F.sum("n").alias("degree")), "content").select("key", "content", "degree", "bytes", "runs"))
     scratch.drop(shared)
     asked = members.select("content").distinct().join(contents, "content").select("content", F.col("rep.doc_id").alias("rep_id"), F.col("rep.tie").alias("rep_tie"))
     texts = docs.join(asked, (F.col("tie") == F.col("rep_tie")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["rep_id", "rep_tie"]).select("content", "text")
