@@ -105,8 +105,7 @@ FROM ledger, rules GROUP BY rule, bit
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text again."""
-    encoded = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
-    both = sentencepiece.decode(encoded, model_path())
+    both = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path(), decoded_col="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.replace("text", F.lit(sentencepiece.MARK), F.lit(" "))).alias("round_trip"))
 
 

@@ -8,7 +8,7 @@ and the forward pass advances one position of all chunks at a time. Characters t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -25,7 +25,7 @@ MARK, SPACE = "▁", b" "
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Bytes of text whose distinct chunks are solved together; each takes some 250 bytes of memory.
-BLOCK = 1 << 18
+BLOCK = 1 << 19
 
 
 class DoubleArray:
@@ -311,30 +311,40 @@ def decode_column(model: Model, column: pa.Array) -> pa.Array:
     return pc.if_else(column.is_null(), pa.scalar(None, pa.large_string()), made).cast(pa.string())
 
 
-def _with(df: DataFrame, column: str, name: str, kind: T.DataType, made) -> DataFrame:
-    """df with a column that made() gives for another one, replacing any of that name; the order of rows stays."""
-    schema = T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
+def _with(df: DataFrame, column: str, new: dict[str, T.DataType], made: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """df with the columns that made() gives for another one, replacing any of their names; the order of rows stays."""
+    kept = [f for f in df.schema.fields if f.name not in new]
+    schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in new.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in schema.fields[:-1]), made(part.column(column))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), *made(part.column(column))], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """df with the ids of each text, without control tokens, as array<int>. path: the model file, read by the driver.
+def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """df with the ids of each text, without control tokens, as array<int>; with decoded_col also what decode() makes of them.
 
-    A null text gives null, an empty one no ids. A mark U+2581 in a text is a space to the model.
+    path: the model file, read by the driver. A null text gives null, an empty one no ids. A mark U+2581 in a text is a space
+    to the model. Encoding and decoding in one go takes one Python process a task instead of two.
     """
     model = Model.load(path)
     model.trie  # noqa: B018  built once, on the driver
-    return _with(df, text_col, ids_col, T.ArrayType(T.IntegerType()), lambda column: encode_column(model, column))
+    new: dict[str, T.DataType] = {ids_col: T.ArrayType(T.IntegerType())}
+    if decoded_col is None:
+        return _with(df, text_col, new, lambda column: [encode_column(model, column)])
+
+    def both(column: pa.Array) -> list[pa.Array]:
+        ids = encode_column(model, column)
+        return [ids, decode_column(model, ids)]
+
+    return _with(df, text_col, {**new, decoded_col: T.StringType()}, both)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """df with the text of each list of ids; decoding what encode() gave returns the text, but for spaces instead of marks."""
     model = Model.load(path)
-    return _with(df, ids_col, text_col, T.StringType(), lambda column: decode_column(model, column.cast(pa.list_(pa.int32()))))
+    return _with(df, ids_col, {text_col: T.StringType()}, lambda column: [decode_column(model, column.cast(pa.list_(pa.int32())))])
