@@ -3,7 +3,7 @@
 Documents are ordered by a hash of their text, then of their id, so equal texts are neighbours: a group of them lies in one
 shard, or, where it has to be cut for equal bytes, in consecutive ones. Splitters are found without sorting: exact bytes
 below candidate keys are counted over all partitions, each splitter's bracket shrinks to the two candidates around its target,
-and new ones are tried inside, until every splitter is within tolerance or between two neighbouring keys. Then one exchange
+and new ones are tried inside, until every splitter is within tolerance or between two neighbouring rows. Then one exchange
 moves each document to its range, where it gets its slot. Shards are cut into ranges of bounded bytes, so that no task holds one.
 """
 
@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 
 from .store import Scratch, fresh
 
-LOW, HIGH = -(1 << 63), (1 << 63) - 1
+#: Keys have 60 bits: ten hexadecimal digits of the text's hash, and five that tell the rows of one text apart.
+BITS = 60
+LOW, HIGH = 0, 1 << BITS
 #: Candidate keys tried inside each bracket in a round.
 PROBES = 15
 #: Bytes of a range, and ranges at most, whose splitters are broadcast: 40 bytes for each.
 RANGE_BYTES, MAX_RANGES = 1 << 25, 1 << 16
-#: The last 24 bits tell the rows of one text apart.
-KEY = "(xxhash64(text) & -16777216L) | (xxhash64(doc_id, text) & 16777215L)"
+_TEXT = "md5(cast(coalesce(text, '') as binary))"
+KEY = f"cast(conv(concat(substr({_TEXT}, 1, 10), substr(md5(cast(concat(coalesce(cast(doc_id as string), ''), '|', {_TEXT}) as binary)), 1, 5)), 16, 10) as long)"
 SIZE = "cast(coalesce(octet_length(text), 0) + 1 as long)"
 
 
@@ -80,24 +82,24 @@ def find_splitters(keyed: DataFrame, ranges: int, tolerance: float) -> list[int]
 def _ranged(spark: SparkSession, docs: DataFrame, splitters: list[int], key: str, range_: str) -> DataFrame:
     """docs with the number of splitters up to the key. Keys meet, by their first bits, the few splitters that share these."""
     bits = max(1, len(splitters).bit_length())
-    prefix = [(s - LOW) >> (64 - bits) for s in splitters]
+    prefix = [min(s, HIGH - 1) >> (BITS - bits) for s in splitters]
     starts = np.searchsorted(np.array(prefix, np.int64), np.arange((1 << bits) + 1), side="left")
-    rows = [(p - (1 << (bits - 1)), int(starts[p]), splitters[starts[p] : starts[p + 1]]) for p in range(1 << bits)]
+    rows = [(p, int(starts[p]), splitters[starts[p] : starts[p + 1]]) for p in range(1 << bits)]
     names = [fresh(docs, n) for n in ("_prefix", "_before", "_splitters")]
     table = spark.createDataFrame(rows, f"`{names[0]}` long, `{names[1]}` int, `{names[2]}` array<long>")
     most = max(len(r[2]) for r in rows)
     steps = F.array(*(F.lit(1 << b) for b in reversed(range(max(1, most.bit_length())))))
     own = F.col(names[2])
     inside = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(own, at + step - 1) <= F.col(key), at + step).otherwise(at))
-    joined = docs.join(F.broadcast(table), F.shiftright(key, 64 - bits) == F.col(names[0]))
+    joined = docs.join(F.broadcast(table), F.shiftright(key, BITS - bits) == F.col(names[0]))
     return joined.withColumn(range_, F.col(names[1]) + inside).drop(*names)
 
 
-def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, tolerance: float = 1e-4, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, tolerance: float = 0.0, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """docs with shard (int) and slot (long, from 0 without gaps), replacing columns of these names.
 
-    Sizes are UTF-8 bytes of the text plus one, 1 for a null text. Shards differ from equal sizes by tolerance, a fraction
-    of a shard, or by one document where that is more. Rows of equal id and text, nulls included, share a key and so a
+    Sizes are UTF-8 bytes of the text plus one, 1 for a null text. Each shard ends at the row that comes nearest to equal sizes,
+    or at one within tolerance of that, a fraction of a shard, which takes fewer rounds. Rows of equal id and text, nulls included, share a key and so a
     shard; rows of equal text lie in one shard or, if a group of them doesn't fit, in consecutive ones. docs needs doc_id
     and text; the same rows always give the same shards, whatever their order or partitions.
     """
