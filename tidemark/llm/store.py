@@ -25,7 +25,7 @@ def _clean() -> None:
         try:
             delete(spark, path)
         except Exception:  # noqa: BLE001 - the session may have been stopped
-            return
+            continue
 
 
 def fresh(df: DataFrame, name: str) -> str:
