@@ -865,6 +865,13 @@ def latest_run_per_file(spark, sf_dir):
     return m.latest_succeeded(_ledger(spark, sf_dir)["runs"], "file_id")
 
 
+@query("SELECT sha256(text) AS content_sha256, max(doc_id) AS run_id FROM documents WHERE doc_id % 5 = 3 GROUP BY text")
+def latest_run_per_content(spark, sf_dir):
+    """Each document is a file with a run of its own number, of which every fifth succeeded."""
+    status = F.when(F.col("file_id") % 5 == 3, "SUCCEEDED").otherwise("FAILED")
+    return m.latest_succeeded(_files(spark, sf_dir).withColumn("run_id", F.col("file_id")).withColumn("status", status), "content_sha256")
+
+
 @query("SELECT count(*) AS receipts, CAST(sum(o_custkey) AS BIGINT) AS rows_read, CAST(sum(o_orderkey) AS BIGINT) AS rows_loaded, CAST(coalesce(sum(CASE WHEN o_orderkey % 9 = 0 THEN 1 END), 0) AS BIGINT) AS rows_rejected FROM orders")
 def receipts_sum(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
