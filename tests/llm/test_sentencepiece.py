@@ -81,5 +81,6 @@ def test_frames(spark):
     got = sp.decode(sp.encode(df, PATH), PATH).orderBy("doc_id").collect()
     assert [r.decoded for r in got] == ["", "the cat", None]
     assert sp.encode(df.filter("doc_id = 9"), PATH).collect() == []
+    assert sp.encode(df.withColumnRenamed("ids", "IDS"), PATH).columns == ["doc_id", "text", "ids"]
     both = sp.encode(df, PATH, decoded_col="decoded")
     assert both.columns == ["doc_id", "text", "ids", "decoded"] and sorted(map(str, both.collect())) == sorted(map(str, sp.decode(sp.encode(df, PATH), PATH).collect()))

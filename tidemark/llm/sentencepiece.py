@@ -313,7 +313,8 @@ def decode_column(model: Model, column: pa.Array) -> pa.Array:
 
 def _with(df: DataFrame, column: str, new: dict[str, T.DataType], made: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """df with the columns that made() gives for another one, replacing any of their names; the order of rows stays."""
-    kept = [f for f in df.schema.fields if f.name not in new]
+    taken = {name.lower() for name in new}
+    kept = [f for f in df.schema.fields if f.name.lower() not in taken]
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in new.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
