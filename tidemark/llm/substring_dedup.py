@@ -15,7 +15,7 @@ into shards by content instead, so that equal windows always meet in one shard:
 3. The different contexts of each anchor are the reference. They are dealt to bounded shards by a hash of their anchor;
    each shard streams its contexts in document order through the suffix automaton of those before: where the matching
    statistic reaches `length`, the window that ends there repeats; then the context is added. An automaton holds at most
-   `HOT` contexts: windows of an anchor with more are compared one by one, by a pre-aggregated minimum over their words.
+   `HOT` words: windows of an anchor with more are compared one by one, by a pre-aggregated minimum over their words.
 4. The windows found go back to their documents, whose words are removed.
 """
 
@@ -34,8 +34,8 @@ from .words import _STEP, U64, Words, find_words, mix64, pieces
 
 #: Words in an anchor; longer ones are rarer by chance, shorter ones leave fewer of them.
 ANCHOR = 8
-#: Contexts of one anchor that are dealt by the anchor; beyond that, by window.
-HOT = 512
+#: Words of one anchor's contexts that make one reference shard, some 50 MB as an automaton; beyond that, each window is one.
+HOT = 1 << 16
 #: Together with the id it stands for a document; ids may be null or repeated.
 TIE = "xxhash64(text)"
 
@@ -296,7 +296,8 @@ def _same(a: str, b: str) -> Column:
 
 def _words_of_contexts(scratch: Scratch, texts: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """The words of the first of equal contexts, where an anchor has several different ones."""
-    several = scratch.keep(firsts.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", (F.col("n") > HOT).alias("hot")))
+    words = F.sum(F.expr(f"cast(spot & 65535 as int) + {length - 1}")).alias("words")
+    several = scratch.keep(firsts.groupBy("anchor").agg(F.count("*").alias("n"), words).filter("n > 1").select("anchor", (F.col("words") > HOT).alias("hot")))
     ask = firsts.join(several, "anchor").groupBy("doc_id", "tie").agg(F.collect_list(F.struct("anchor", "context", "spot", "hot")).alias("wanted"))
     cut = texts.alias("t").join(ask.alias("a"), _same("t", "a")).select("t.doc_id", "t.tie", "t.text", "a.wanted")
     return cut.mapInArrow(_cut(length), "anchor long, context long, deal long, doc_id long, tie long, spot long, first int, words binary")
